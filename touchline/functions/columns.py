@@ -39,8 +39,8 @@ def conform(df: DataFrame, schema: str | T.StructType) -> DataFrame:
     picked = []
     for field in read_ddl(schema).fields:
         name = have.get(field.name.lower())
-        value = F.lit(None) if name is None else quoted(name)
-        picked.append((value.cast(field.dataType) if name is None else value.try_cast(field.dataType)).alias(field.name))
+        value = F.lit(None).cast(field.dataType) if name is None else quoted(name).try_cast(field.dataType)
+        picked.append(value.alias(field.name))
     return df.select(*picked)
 
 

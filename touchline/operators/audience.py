@@ -44,7 +44,9 @@ def contact_export(export: DataFrame, run: RunTime) -> DataFrame:
     return stamp(clean_header(export), run, "hour")
 
 
-def call_audience(export: DataFrame, run: RunTime, channel: str = "CALLCENTER", name_column: str = "file_name") -> DataFrame:
+def call_audience(
+    export: DataFrame, run: RunTime, channel: str = "CALLCENTER", name_column: str = "file_name"
+) -> DataFrame:
     """A call-centre export: as above, with the channel, and the campaign read from the file name."""
     named = clean_header(export).withColumns({
         "channel": F.lit(channel), "campaign_name": campaign_of_export(F.col(name_column), channel),

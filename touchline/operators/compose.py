@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.functions.columns import conform, contains_any, prefixed_key, stamp, stripped_key
+from touchline.functions.columns import conform, contains_any, prefixed_key, stamp, stripped_key, with_constants
 from touchline.functions.dates import day_key, month_key, on_day, parse_date
 from touchline.operators.joins import hot_keys, small, spread_join
 from touchline.operators.latest import latest_per_key, latest_with_ties
@@ -99,10 +99,8 @@ def compose_day(
     )
     account = spread_join(contact_accounts(contact_ids), offered, ["account_id"], right_repeats=True)
     campaign = latest_campaigns(campaigns, ["program_id"]).select(F.col("id").alias("campaign_id"), "program_id")
-    named = campaign.join(
-        small(programs.select(F.col("id").try_cast("long").alias("program_id"), F.col("name").alias("campaign_name"))),
-        "program_id", "left",
-    )
+    program = programs.select(F.col("id").try_cast("long").alias("program_id"), F.col("name").alias("campaign_name"))
+    named = campaign.join(small(program), "program_id", "left")
     base = raw.distinct()
     of_contact = spread_join(base, account, ["contact_id"], hot=hot_keys(raw, ["contact_id"]), right_repeats=True)
     full = spread_join(of_contact, named, ["campaign_id"], hot=hot_keys(raw, ["campaign_id"]))
@@ -185,7 +183,7 @@ def audience_to_communications(
     """A call audience as history rows of the day with no status yet, one per account and campaign."""
     number = F.col(number_column).cast("string")
     rows = audience.select(
-        prefixed_key(F.col(number_column), prefix).alias("account_id"), number.alias("sub_acct_no_sbb"), "campaign_name"
+        prefixed_key(number, prefix).alias("account_id"), number.alias("sub_acct_no_sbb"), "campaign_name"
     ).distinct()
-    rows = rows.select("*", F.lit(run_day).alias("comm_dt"), F.lit(False).alias("conv_flg"), F.lit(channel).alias("channel"))
+    rows = with_constants(rows, {"comm_dt": run_day, "conv_flg": False, "channel": channel})
     return conform(stamp(rows, run_day), HISTORY)

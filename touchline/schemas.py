@@ -61,7 +61,7 @@ HISTORY = (
     "account_id string, sub_acct_no_sbb string, use_case string, campaign_name string, contact_id long, "
     "campaign_id long, comm_dt date, sent_dt timestamp, cancel_dt timestamp, cancel_reason string, "
     "bounce_dt timestamp, dsn_reason string, bounce_type string, open_dt timestamp, click_dt timestamp, "
-    "clicks_count int, contact_dt timestamp, id_oferta_int int, offer_type string, rec_date date, regime string, "
+    "clicks_count int, contact_dt timestamp, id_oferta_int long, offer_type string, rec_date date, regime string, "
     "link string, link_generated_dt date, link_expiration_dt date, order_id string, conv_use_case_cat string, "
     "conversion_dt timestamp, conversion_type string, program_id int, conv_flg boolean, month string, day string, "
     "channel string"
