@@ -21,15 +21,42 @@ def read_ddl(schema: str | T.StructType) -> T.StructType:
     return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
 
+# The text forms Spark's casts accept, per target type; forms it may still refuse are let through.
+_EDGE = r"[\s\p{Cntrl}]*"
+_WHOLE = f"^{_EDGE}[+-]?\\d+{_EDGE}$"
+_REAL = r"^[0-9+\-.eEdDfF\s\p{Cntrl}]+$|(?i:inf|nan|0x)"
+TEXT_FORMS = {
+    "tinyint": _WHOLE, "smallint": _WHOLE, "int": _WHOLE, "bigint": _WHOLE,
+    "float": _REAL, "double": _REAL,
+    "boolean": f"^{_EDGE}(?i:t|true|y|yes|1|f|false|n|no|0){_EDGE}$",
+}
+
+
+def lenient(col: Column, source: T.DataType, target: T.DataType) -> Column:
+    """Cast in which a value that does not fit the target type becomes NULL.
+
+    Text is looked at first: a try_cast that fails throws inside, at the price of some fifty good casts, and
+    whole columns of bad values do arrive.
+    """
+    form = TEXT_FORMS.get(target.simpleString()) if isinstance(source, T.StringType) else None
+    return col.try_cast(target) if form is None else F.when(col.rlike(form), col.try_cast(target))
+
+
+def long_of(df: DataFrame, name: str) -> Column:
+    """Column ``name`` as a long, for keys that some feeds hold as text."""
+    return lenient(quoted(name), df.schema[name].dataType, T.LongType())
+
+
 def apply_mapping(df: DataFrame, target: str | T.StructType, sources: Mapping[str, str] | None = None) -> DataFrame:
     """Project to the ``target`` columns in their order, cast, rename; other columns are dropped.
 
     ``sources`` names the source column of each target column whose name differs. Values that do not fit the
     target type become NULL.
     """
-    sources = sources or {}
+    names = sources or {}
+    picked = [(names.get(f.name, f.name), f) for f in read_ddl(target).fields]
     return df.select(*[
-        quoted(sources.get(f.name, f.name)).try_cast(f.dataType).alias(f.name) for f in read_ddl(target).fields
+        lenient(quoted(name), df.schema[name].dataType, f.dataType).alias(f.name) for name, f in picked
     ])
 
 
@@ -39,7 +66,10 @@ def conform(df: DataFrame, schema: str | T.StructType) -> DataFrame:
     picked = []
     for field in read_ddl(schema).fields:
         name = have.get(field.name.lower())
-        value = F.lit(None).cast(field.dataType) if name is None else quoted(name).try_cast(field.dataType)
+        if name is None:
+            value = F.lit(None).cast(field.dataType)
+        else:
+            value = lenient(quoted(name), df.schema[name].dataType, field.dataType)
         picked.append(value.alias(field.name))
     return df.select(*picked)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -16,13 +17,31 @@ TIMESTAMP_PATTERNS = ("yyyy-M-d H:m:s", "yyyy-M-d", "yyyyMMdd", "M/d/yyyy h:m:s
 RunTime = dt.date | dt.datetime
 
 
+def form_of(pattern: str) -> str:
+    """Regular expression of the texts a date pattern can parse."""
+    form = ""
+    for run in re.findall(r"y+|M+|d+|H+|h+|m+|s+|a|.", pattern):
+        if run == "a":
+            form += "(?i:am|pm)"
+        elif run[0] in "yMdHhms":
+            form += r"\d{1,2}" if len(run) == 1 else rf"\d{{{len(run)}}}"
+        else:
+            form += re.escape(run)
+    return f"^{form}$"
+
+
+def _try(text: Column, pattern: str) -> Column:
+    # a parse that fails throws inside; the form keeps other texts away from it
+    return F.when(text.rlike(form_of(pattern)), F.try_to_timestamp(text, F.lit(pattern)))
+
+
 def parse_date(text: Column, patterns: Sequence[str] = DATE_PATTERNS) -> Column:
     """First pattern that fits; text that fits none becomes NULL (also under ANSI)."""
     return F.to_date(parse_timestamp(text, patterns))
 
 
 def parse_timestamp(text: Column, patterns: Sequence[str] = TIMESTAMP_PATTERNS) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in patterns])
+    return F.coalesce(*[_try(text, p) for p in patterns])
 
 
 def as_timestamp(col: Column, kind: T.DataType, patterns: Sequence[str] = TIMESTAMP_PATTERNS) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchline.functions.columns import long_of
 from touchline.functions.dates import ms_to_text, within_days
 from touchline.operators.joins import hot_keys, spread_join
 from touchline.operators.status import WINDOW_DAYS
@@ -27,7 +28,7 @@ def typed_conversions(conversions: DataFrame) -> DataFrame:
         "account_id",
         "conv_use_case_cat",
         "order_id",
-        ms_to_text(F.col("conv_dte").try_cast("long")).alias("conversion_dt"),
+        ms_to_text(long_of(conversions, "conv_dte")).alias("conversion_dt"),
         F.col("conv_type").alias("conversion_type"),
     )
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.functions.columns import clean_header, prefixed_key, stamp, with_constants
+from touchline.functions.columns import clean_header, long_of, prefixed_key, stamp, with_constants
 from touchline.functions.dates import RunTime, as_datetime
 from touchline.functions.names import campaign_of_export
 
@@ -32,8 +32,9 @@ def base_audience(
 
 def contact_ids(export: DataFrame, user: str, account: str, prefix: str, run: RunTime) -> DataFrame:
     """Contact id and account key of an export, for accounts with the prefix."""
-    return clean_header(export).where(F.col(account).cast("string").startswith(prefix)).select(
-        F.col(user).try_cast("long").alias("user_id"),
+    clean = clean_header(export)
+    return clean.where(F.col(account).cast("string").startswith(prefix)).select(
+        long_of(clean, user).alias("user_id"),
         F.col(account).cast("string").alias("account_id"),
         F.lit(f"{as_datetime(run):%Y%m%d}").alias("process_day"),
     )

@@ -8,10 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.functions.columns import conform, contains_any, prefixed_key, stamp, stripped_key, with_constants
+from touchline.functions.columns import conform, contains_any, long_of, prefixed_key, stamp, stripped_key, with_constants
 from touchline.functions.dates import day_key, month_key, on_day, parse_date
 from touchline.operators.joins import hot_keys, small, spread_join
 from touchline.operators.latest import latest_per_key, latest_with_ties
+from touchline.session import stage
 from touchline.schemas import CONTACTED_DISPOSITIONS, HISTORY, SIMPLE_HISTORY
 
 CALL_CHANNEL = "Outbound_call"  # fixed value: channel of call-centre rows
@@ -27,11 +28,11 @@ def contact_accounts(ids: DataFrame) -> DataFrame:
 
 def current_offers(
     offers: DataFrame, run_day: dt.date, prefix: str, offer_type: str = "single", channel: str = "email",
-    since: str | None = None,
+    since: str | None = None, hot: dict | None = None,
 ) -> DataFrame:
     """Newest offers per account and use case up to the run day; offers of the same newest date all stay.
 
-    ``since`` leaves out partitions up to and with that ``day`` key.
+    ``since`` leaves out partitions up to and with that ``day`` key. ``hot`` gives hot values of sub_acct_no.
     """
     if since is not None:
         offers = offers.where(F.col("day") > since)
@@ -40,7 +41,9 @@ def current_offers(
         .withColumn("rec_date", parse_date(F.col("date").cast("string")))
         .where(F.col("rec_date") <= F.lit(run_day))
     )
-    newest = latest_with_ties(wanted, ["sub_acct_no", "offer_type", "channel", "use_case"], "rec_date")
+    newest = latest_with_ties(
+        wanted, ["sub_acct_no", "offer_type", "channel", "use_case"], "rec_date", by=["sub_acct_no"], hot=hot
+    )
     return newest.select(
         prefixed_key(F.col("sub_acct_no"), prefix).alias("account_id"),
         "offer_type", "use_case", "rec_date", "id_oferta_int", "regime",
@@ -76,7 +79,8 @@ def compose_day(
     """History rows of one day: a row per message and status (sent, cancelled) and use case offered.
 
     The account side (contact, account, offers, links) is joined first, among tables of one row per account or
-    offer; the messages are then shuffled once, by contact. Campaign versions are reduced to one row per id.
+    offer, and staged; the messages are then shuffled once, by contact. Campaign versions are reduced to one row
+    per id.
     """
     def messages(feed: DataFrame, sent: Column, cancelled: Column, reason: Column) -> DataFrame:
         return feed.where(F.col("contact_id").isNotNull() & on_day(F.col("event_time"), run_day)).select(
@@ -92,14 +96,18 @@ def compose_day(
     raw = messages(sends, F.col("event_time"), none, none).unionByName(
         messages(cancels, none, F.col("event_time"), F.col("reason"))
     )
-    # offer ids are surrogate, one row each, so no key can be hot
+    hot_numbers = hot_keys(offers, ["sub_acct_no"])
+    hot_accounts = {(f"{prefix}{number}",): share for (number,), share in hot_numbers.items() if number is not None}
     offered = spread_join(
-        current_offers(offers, run_day, prefix, channel=channel, since=offers_since),
-        latest_links(links), ["id_oferta_int"], hot={},
+        current_offers(offers, run_day, prefix, channel=channel, since=offers_since, hot=hot_numbers),
+        latest_links(links), ["id_oferta_int"], hot={},  # offer ids are surrogate, one row each: none is hot
     )
-    account = spread_join(contact_accounts(contact_ids), offered, ["account_id"], right_repeats=True)
+    account = stage(spread_join(
+        contact_accounts(contact_ids), offered, ["account_id"], hot=hot_keys(contact_ids, ["account_id"]),
+        right_repeats=True, hot_right=hot_accounts,
+    ))
     campaign = latest_campaigns(campaigns, ["program_id"]).select(F.col("id").alias("campaign_id"), "program_id")
-    program = programs.select(F.col("id").try_cast("long").alias("program_id"), F.col("name").alias("campaign_name"))
+    program = programs.select(long_of(programs, "id").alias("program_id"), F.col("name").alias("campaign_name"))
     named = campaign.join(small(program), "program_id", "left")
     base = raw.distinct()
     of_contact = spread_join(base, account, ["contact_id"], hot=hot_keys(raw, ["contact_id"]), right_repeats=True)

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.functions.columns import conform, stamp
+from touchline.functions.columns import conform, long_of, stamp
 from touchline.functions.dates import on_day, trailing_days
 from touchline.operators.joins import spread_join
 from touchline.schemas import FEEDS
@@ -16,7 +16,7 @@ from touchline.schemas import FEEDS
 
 def tagged_programs(programs: DataFrame, tag: str) -> DataFrame:
     """Programs whose name holds ``tag``, as (id, name) with numeric ids."""
-    return programs.where(F.col("name").contains(tag)).select(F.col("id").try_cast("long").alias("id"), "name")
+    return programs.where(F.col("name").contains(tag)).select(long_of(programs, "id").alias("id"), "name")
 
 
 def program_campaigns(campaigns: DataFrame, programs: DataFrame) -> DataFrame:
@@ -47,7 +47,7 @@ def event_feed(
     else:
         timely = timely.where(F.col("contact_id").isNotNull())
         if campaign_ids is not None:
-            typed = timely.withColumn("_campaign", F.col("campaign_id").try_cast("long"))
+            typed = timely.withColumn("_campaign", long_of(timely, "campaign_id"))
             allowed = campaign_ids.select(F.col("campaign_id").alias("_campaign"))
             timely = spread_join(typed, allowed, ["_campaign"], "left_semi")
     return stamp(conform(timely, FEEDS[kind]), run_day)

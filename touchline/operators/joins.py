@@ -38,7 +38,9 @@ def spread_join(
     on: Sequence[str],
     how: str = "left",
     only_when: Column | None = None,
+    by: Sequence[str] | None = None,
     hot: dict[tuple, float] | None = None,
+    hot_right: dict[tuple, float] | None = None,
     right_repeats: bool = False,
     share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
@@ -51,9 +53,12 @@ def spread_join(
     join.
 
     ``how`` is left, inner, left_semi or left_anti. ``only_when`` is a predicate on the left side that belongs
-    to the join condition: rows that fail it stay, unmatched, in a left join. ``hot`` gives the hot keys of the
-    left side if the caller has them. ``right_repeats`` says the right side may hold many rows per key and is to
-    be looked at too.
+    to the join condition: rows that fail it stay, unmatched, in a left join.
+
+    ``by`` names the key columns to look for hot values in, where some of ``on`` say enough: a composite key can
+    only be hot if each of its parts is. ``right_repeats`` says the right side may hold many rows per key and is
+    to be looked at too. ``hot`` and ``hot_right`` give the hot values of a side if the caller has them; they
+    decide how rows are dealt, never which rows come out.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
@@ -61,9 +66,12 @@ def spread_join(
     one_sided = how in ("left_semi", "left_anti")
     gate = F.lit(True) if only_when is None else F.coalesce(only_when, F.lit(False))
     kept = [*left.columns, *([] if one_sided else [c for c in right.columns if c not in on])]
-    hot_left = hot_keys(left, on, share, min_rows) if hot is None else hot
-    repeats = right_repeats and not one_sided
-    hot_right = hot_keys(right.dropna(subset=on), on, share, min_rows) if repeats else {}
+    by = on if by is None else list(by)
+    hot_left = hot_keys(left, by, share, min_rows) if hot is None else hot
+    if one_sided or not right_repeats:
+        hot_right = {}
+    elif hot_right is None:
+        hot_right = hot_keys(right.dropna(subset=by), by, share, min_rows)
     if not hot_left and not hot_right:
         if only_when is None:
             return left.join(right, on, how).select(*kept)
@@ -78,8 +86,8 @@ def spread_join(
     def salts(found: dict[tuple, float], key: tuple) -> int:
         return max(2, math.ceil(parts * found[key])) if key in found else 1
 
-    names = [f"_hot_{k}" for k in on]
-    kinds = ", ".join(f"{n} {left.schema[k].dataType.simpleString()}" for n, k in zip(names, on))
+    names = [f"_hot_{k}" for k in by]
+    kinds = ", ".join(f"{n} {left.schema[k].dataType.simpleString()}" for n, k in zip(names, by))
     tags = left.sparkSession.createDataFrame(
         [(*key, salts(hot_left, key), salts(hot_right, key)) for key in {**hot_left, **hot_right}],
         f"{kinds}, _lefts int, _rights int",
@@ -87,7 +95,7 @@ def spread_join(
 
     def tagged(df: DataFrame) -> DataFrame:
         same = F.lit(True)
-        for n, k in zip(names, on):
+        for n, k in zip(names, by):
             same = same & df[k].eqNullSafe(tags[n])
         # at most 2/share rows, by the way hot_keys selects them
         one = F.lit(1)

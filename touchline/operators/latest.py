@@ -34,8 +34,10 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     return _pick(df, list(keys), list(order), F.min_by)
 
 
-def latest_with_ties(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """Every row that has the greatest ``order`` of its key."""
+def latest_with_ties(
+    df: DataFrame, keys: Sequence[str], order: str, by: Sequence[str] | None = None, hot: dict | None = None
+) -> DataFrame:
+    """Every row that has the greatest ``order`` of its key; ``by`` and ``hot`` as in :func:`spread_join`."""
     keys = list(keys)
     newest = df.groupBy(*keys).agg(F.max(order).alias(order))
-    return spread_join(df, newest, [*keys, order], "left_semi")
+    return spread_join(df, newest, [*keys, order], "left_semi", by=by or keys, hot=hot)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.functions.columns import apply_mapping, stamp
+from touchline.functions.columns import apply_mapping, long_of, stamp
 from touchline.functions.dates import RunTime, ms_to_date, parse_date
 from touchline.operators.ids import dense_ids
 from touchline.operators.joins import spread_join
@@ -41,9 +41,9 @@ def link_requests(requests: DataFrame) -> DataFrame:
     Columns in: account, action_ms, expiration_ms, channel, use_case, offer_type.
     """
     return requests.select(
-        F.col("account").try_cast("long").alias("account"),
-        ms_to_date(F.col("action_ms").try_cast("long")).alias("action_date"),
-        ms_to_date(F.col("expiration_ms").try_cast("long")).alias("LINK_EXPIRATION_DT"),
+        long_of(requests, "account").alias("account"),
+        ms_to_date(long_of(requests, "action_ms")).alias("action_date"),
+        ms_to_date(long_of(requests, "expiration_ms")).alias("LINK_EXPIRATION_DT"),
         "channel", "use_case", "offer_type",
     )
 
@@ -52,20 +52,20 @@ def offers_links_in(offers: DataFrame, requests: DataFrame, run: RunTime) -> Dat
     """Current offers asked for, matched on account, channel, action date, use case and offer type."""
     keys = ["account", "channel", "action_date", "use_case", "offer_type"]
     wanted = offers.select(
-        F.col("sub_acct_no").try_cast("long").alias("account"),
+        long_of(offers, "sub_acct_no").alias("account"),
         F.to_date("next_best_action_date").alias("action_date"),
         "channel", "use_case", "offer_type",
         *[F.col(source).alias(name) for name, source in LINK_REQUEST.items()],
         F.col("id_oferta_int").alias("ID_OFERTA_INT"),
     )
-    matched = spread_join(wanted, link_requests(requests), keys, "inner", right_repeats=True)
+    matched = spread_join(wanted, link_requests(requests), keys, "inner", by=["account"], right_repeats=True)
     return stamp(matched.select(*LINK_REQUEST, "LINK_EXPIRATION_DT", "ID_OFERTA_INT"), run, "hour")
 
 
 def typed_links(links: DataFrame) -> DataFrame:
     """Link response file: account number, link, and the two dates from their text forms."""
     return links.select(
-        F.col("SUB_ACCT_NO").try_cast("long").alias("account"),
+        long_of(links, "SUB_ACCT_NO").alias("account"),
         F.col("LINK").cast("string").alias("LINK"),
         parse_date(F.col("CREATED_DATETIME").cast("string"), ["M/d/yyyy h:m:s a"]).alias("LINK_GENERATED_DT"),
         parse_date(F.col("LINK_EXPIRATION_DT").cast("string"), ["yyyy-M-d"]).alias("LINK_EXPIRATION_DT"),
@@ -79,11 +79,11 @@ def offers_links_out(offered: DataFrame, links: DataFrame, run: RunTime) -> Data
     then the greater link, decides.
     """
     requested = offered.select(
-        F.col("SUB_ACCT_NO_SBB").try_cast("long").alias("account"),
+        long_of(offered, "SUB_ACCT_NO_SBB").alias("account"),
         parse_date(F.col("day").cast("string"), ["yyyyMMdd"]).alias("LINK_GENERATED_DT"),
         "SUB_ACCT_NO_SBB", "id_oferta_int", "day_hour",
     )
-    matched = spread_join(requested, links, ["account", "LINK_GENERATED_DT"], "inner", right_repeats=True)
+    matched = spread_join(requested, links, ["account", "LINK_GENERATED_DT"], "inner", by=["account"], right_repeats=True)
     columns = ["SUB_ACCT_NO_SBB", "LINK", "LINK_GENERATED_DT", "LINK_EXPIRATION_DT", "id_oferta_int"]
     newest = latest_per_key(
         matched.select(*columns, "day_hour"), ["SUB_ACCT_NO_SBB"], ["day_hour", "id_oferta_int", "LINK"]
@@ -98,11 +98,11 @@ def offers_packages(offers: DataFrame, requests: DataFrame, run: RunTime) -> Dat
     """
     keys = ["account", "offer_type"]
     wanted = offers.select(
-        F.col("sub_acct_no").try_cast("long").alias("account"), "offer_type",
+        long_of(offers, "sub_acct_no").alias("account"), "offer_type",
         *[F.col(name.lower()).alias(name) for name in PACKAGE_COLUMNS],
     )
-    asked = requests.select(F.col("account").try_cast("long").alias("account"), "offer_type")
-    matched = spread_join(wanted, asked, keys, "inner", right_repeats=True)
+    asked = requests.select(long_of(requests, "account").alias("account"), "offer_type")
+    matched = spread_join(wanted, asked, keys, "inner", by=["account"], right_repeats=True)
     return stamp(matched.select(*PACKAGE_COLUMNS), run, "hour")
 
 

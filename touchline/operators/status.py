@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.functions.columns import contains_any
+from touchline.functions.columns import contains_any, long_of
 from touchline.functions.dates import within_days
 from touchline.operators.joins import spread_join
 from touchline.schemas import CONTACTED_DISPOSITIONS
@@ -22,8 +22,8 @@ def message_events(
 ) -> DataFrame:
     """Events keyed like the messages they answer, within the day window; campaign ids may be text."""
     return events.where(within_days(F.col("event_time"), F.col("email_sent_at"), days, least)).select(
-        F.col("contact_id").try_cast("long").alias("contact_id"),
-        F.col("campaign_id").try_cast("long").alias("campaign_id"),
+        long_of(events, "contact_id").alias("contact_id"),
+        long_of(events, "campaign_id").alias("campaign_id"),
         F.to_date("email_sent_at").alias("comm_dt"),
         F.lit(kind).alias("kind"),
         "event_time",

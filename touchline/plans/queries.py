@@ -372,7 +372,7 @@ def semi_join_campaigns(t: Tables) -> DataFrame:
         SELECT 1 FROM history h WHERE h.contact_id = a.contact_id AND h.campaign_id = a.campaign_id)""",
        "answers", "history")
 def existence_semi(t: Tables) -> DataFrame:
-    rows = t.answers("view").withColumn("campaign_id", F.col("campaign_id").try_cast("long"))
+    rows = t.answers("view").withColumn("campaign_id", F.col("campaign_id").cast("long"))
     known = t.history.select("contact_id", "campaign_id").distinct()
     joined = spread_join(rows, known, ["contact_id", "campaign_id"], "left_semi")
     return joined.select("event_id", F.lit("view").alias("event_type"))
@@ -532,7 +532,7 @@ def audience_rows(t: Tables) -> DataFrame:
         SELECT id, name FROM campaigns QUALIFY row_number() OVER (PARTITION BY id ORDER BY event_time DESC, name DESC) = 1
     ) c ON f.campaign_id = c.id WHERE f.event_type IN ('signup', 'purchase', 'error')""", "feed", "campaigns")
 def compose_simple(t: Tables) -> DataFrame:
-    rows = t.feed.withColumn("campaign_id", F.col("campaign_id").try_cast("long"))
+    rows = t.feed.withColumn("campaign_id", F.col("campaign_id").cast("long"))
     kinds = [rows.where(F.col("event_type") == kind) for kind in ("signup", "purchase", "error")]
     return compose.compose_simple(*kinds, t.campaigns, RUN_DAY)
 
@@ -564,7 +564,7 @@ def compose_simple(t: Tables) -> DataFrame:
     LEFT JOIN campaign m ON b.campaign_id = m.id LEFT JOIN programs p ON m.program_id = p.id""",
        "feed", "campaigns", "programs", "contacts", "offers", "links")
 def compose_full(t: Tables) -> DataFrame:
-    rows = t.feed.withColumn("campaign_id", F.col("campaign_id").try_cast("long"))
+    rows = t.feed.withColumn("campaign_id", F.col("campaign_id").cast("long"))
     whole = compose.compose_day(
         rows.where(F.col("event_type") == "signup"), rows.where(F.col("event_type") == "purchase"),
         t.contacts, t.offers, t.links, t.campaigns, t.programs, RUN_DAY, "ACC_",
