@@ -1,0 +1,119 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tests.conftest import rows_of
+from touchline import schemas
+from touchline.functions import columns as C
+from touchline.functions import dates as D
+from touchline.functions import names as N
+
+ODD = ["1", " 1", "+1", "-7 ", "12.7", "12.", ".5", "1e3", "1E-2", "1d", "1f", "abc", "", " ", "NaN", "nan", "inf",
+       "-Infinity", "0x10", "99999999999", "99999999999999999999", "Y", "y", "1 1", "t", "F", "no", " true", "false ",
+       "yes", "0", "\t5\n", None, "١"]
+
+
+@pytest.mark.parametrize("kind", ["tinyint", "int", "bigint", "float", "double", "boolean", "date", "string"])
+def test_lenient_cast_equals_try_cast(frame, kind):
+    df = frame("s string", *[(s,) for s in ODD])
+    target = C.read_ddl(f"x {kind}").fields[0].dataType
+    got = df.select("s", C.lenient(F.col("s"), T.StringType(), target).cast("string").alias("v"))
+    assert rows_of(got) == rows_of(df.select("s", F.col("s").try_cast(target).cast("string").alias("v")))
+
+
+def test_mapping_selects_renames_casts_and_drops(frame):
+    df = frame("`old-->` string, `a b` string, flag string, gone int", ("5", "x", "N", 1), ("five", None, "1", 2))
+    got = C.apply_mapping(df, "`old-->` long, ab string, flag boolean", {"ab": "a b"})
+    assert got.dtypes == [("old-->", "bigint"), ("ab", "string"), ("flag", "boolean")]
+    assert rows_of(got) == [(5, "x", False), (None, None, True)]
+
+
+def test_conform_orders_casts_and_fills(frame):
+    got = C.conform(frame("B string, a int, c int", ("7", 1, 2)), "a long, b int, d timestamp")
+    assert got.dtypes == [("a", "bigint"), ("b", "int"), ("d", "timestamp")]
+    assert rows_of(got) == [(1, 7, None)]
+
+
+def test_nested_column_survives_conform(spark):
+    row = spark.sql(f"select 1L contact_id, cast(null as {schemas.GEO}) geo")
+    geo = C.conform(row, schemas.FEEDS["opens"]).select("geo.city_name", "geo.continent_code")
+    assert geo.columns == ["city_name", "continent_code"]
+
+
+def test_every_declared_schema_parses(spark):
+    for ddl in [*schemas.FEEDS.values(), schemas.HISTORY, schemas.SIMPLE_HISTORY, schemas.OFFERS_IN, schemas.OFFER_FILE,
+                schemas.CALL_FEEDBACK, schemas.CONVERSIONS]:
+        fields = C.read_ddl(ddl).fieldNames()
+        assert len(fields) == len(set(fields))
+    assert [len(C.read_ddl(schemas.FEEDS[k])) for k in schemas.FEEDS] == [12, 10, 20, 13, 12, 27, 11, 11]
+
+
+def test_header_cleaning_and_collisions(frame):
+    assert C.clean_header(frame("`user (id)` int, `a \t b` int", (1, 2))).columns == ["user__id_", "a_b"]
+    with pytest.raises(ValueError, match="collide"):
+        C.clean_header(frame("`a b` int, `A(b` int", (1, 2)))
+
+
+def test_stamps_are_padded_text(frame):
+    df = frame("a int", (1,))
+    run = dt.datetime(2023, 1, 5, 4, 3, 2)
+    assert rows_of(C.stamp(df, run)) == [(1, "202301", "20230105")]
+    assert rows_of(C.stamp(df, run, "hour")) == [(1, "202301", "20230105", "20230105040302")]
+    assert rows_of(C.stamp(df, run, "hour", hour_column="hour")) == [(1, "202301", "20230105", "040302")]
+
+
+def test_keys(frame):
+    df = frame("n long", (12,), (None,)).select(C.prefixed_key(F.col("n"), "ACC_").alias("k"))
+    got = df.select("k", C.stripped_key(F.col("k"), "ACC_").alias("n"))
+    assert rows_of(got) == [("ACC_12", "12"), (None, None)]
+
+
+def test_contains_any_is_literal(frame):
+    df = frame("s string", ("a_b",), ("axb",), ("100%",), (None,))
+    assert rows_of(df.where(C.contains_any(F.col("s"), ["a_b", "%"]))) == [("100%",), ("a_b",)]
+
+
+def test_epoch_ms_drops_parts_of_a_second(spark):
+    df = spark.sql("select timestamp'2024-01-01 00:00:01.999' t, timestamp_ntz'1970-01-01 00:00:02' n, 'x' s")
+    assert rows_of(C.timestamps_to_epoch_ms(df)) == [(1704067201000, 2000, "x")]
+
+
+def test_ms_companions_added_or_in_place(spark):
+    df = spark.sql("select '20230817' d, timestamp'1970-01-01 00:01:00' t, 1 a")
+    assert C.with_epoch_ms(df, ["d"]).columns == ["d", "t", "a", "d_ms"]
+    got = C.with_epoch_ms(df, ["d", "t"], replace=True)
+    assert got.columns == ["a", "d_ms", "t_ms"] and rows_of(got) == [(1, 1692230400000, 60000)]
+
+
+def test_dates_with_month_not_minute_and_any_padding(frame):
+    df = frame("s string", ("20230817",), ("8/7/2023",), ("08/07/2023",), ("2023-08-7",), ("17-08-2023",), ("",),
+               ("2023-02-30",), ("20231301",), (None,))
+    got = {r.s: r.d for r in df.select("s", D.parse_date(F.col("s")).alias("d")).collect()}
+    assert got == {"20230817": dt.date(2023, 8, 17), "8/7/2023": dt.date(2023, 8, 7), "08/07/2023": dt.date(2023, 8, 7),
+                   "2023-08-7": dt.date(2023, 8, 7), "17-08-2023": None, "": None, "2023-02-30": None,
+                   "20231301": None, None: None}
+
+
+def test_timestamps_with_half_day_clock(frame):
+    df = frame("s string", ("8/7/2023 3:04:05 PM",), ("2023-08-07 15:04:05",))
+    moment = dt.datetime(2023, 8, 7, 15, 4, 5)
+    assert {r[0] for r in df.select(D.parse_timestamp(F.col("s"))).collect()} == {moment}
+
+
+def test_day_windows(frame):
+    df = frame("e date, s date", *[(dt.date(2024, 1, 15) + dt.timedelta(n), dt.date(2024, 1, 15)) for n in (-1, 0, 14, 15)])
+    days = lambda c: [r[0] for r in df.select(c).collect()]
+    assert days(D.within_days(F.col("e"), F.col("s"), 14)) == [True, True, True, False]
+    assert days(D.within_days(F.col("e"), F.col("s"), 14, 0)) == [False, True, True, False]
+    assert days(D.trailing_days(F.col("e"), dt.date(2024, 1, 15), 14)) == [True, True, False, False]
+
+
+def test_file_names(frame):
+    df = frame("n string", ("xxxx_Autumn deal_CALLCENTER_2023-09-01_export_1.csv",), ("list_20230817.csv",))
+    n = F.col("n")
+    got = df.select(N.dashed_date(n), N.compact_date(n), N.campaign_of_export(n, "CALLCENTER"), N.mask_of_export(n),
+                    N.between_marks(n, "list_"), N.base_name(F.concat(F.lit("s://b/c/"), n))).collect()
+    assert tuple(got[0])[:4] == ("20230901", None, "Autumn deal", "xxxx_Autumn deal_CALLCENTER_2023-09-01_")
+    assert tuple(got[1]) == (None, "20230817", "", "", "20230817", "list_20230817.csv")
