@@ -30,6 +30,16 @@ def test_equals_plain_join(frame, how, gated, seed):
     assert rows_of(split) == rows_of(plain)
 
 
+def test_several_right_sides(frame):
+    rng = random.Random(3)
+    left = frame("id int, k int", *enumerate(skewed(rng, 150, range(40))))
+    one = frame("k int, v int", *[(k, -k) for k in range(30)])
+    many = frame("k int, w int", *[(k, i) for i, k in enumerate(skewed(rng, 60, range(5, 60)))])
+    plain = left.join(one, ["k"], "left").join(many, ["k"], "left").select("id", "k", "v", "w")
+    for options in (SPLIT, {"hot": {}, "hot_right": {}}):
+        assert rows_of(spread_join(left, [one, many], ["k"], right_repeats=True, **options)) == rows_of(plain)
+
+
 def test_composite_key_found_by_one_part(frame):
     left = frame("a int, b int, id int", *[(1, i % 2, i) for i in range(60)], *[(i, 0, i) for i in range(60, 90)])
     right = frame("a int, b int, v string", (1, 0, "x"), (1, 1, "y"), (1, None, "n"), (70, 0, "z"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.columns import long_of
 from touchline.functions.dates import ms_to_text, within_days
-from touchline.operators.joins import hot_keys, spread_join
+from touchline.operators.joins import spread_join
 from touchline.operators.status import WINDOW_DAYS
 from touchline.schemas import CHANNEL_WEIGHTS
 
@@ -56,10 +56,7 @@ def attribute_conversions(
         .groupBy("account_id").agg(F.min("_weight").alias("_best"))
     )
     found = conversions.select("account_id", *[F.col(c).alias(f"_{c}") for c in CONVERSION_COLUMNS])
-    account = ["account_id"]
-    hot = hot_keys(history, account)
-    weighted = spread_join(history, best, account, hot=hot)
-    joined = spread_join(weighted, found, account, only_when=~converted, hot=hot, right_repeats=True)
+    joined = spread_join(history, [best, found], ["account_id"], only_when=~converted, right_repeats=True)
     taken = {
         c: F.when(converted, F.col(c)).otherwise(F.col(f"_{c}").cast(history.schema[c].dataType))
         for c in CONVERSION_COLUMNS

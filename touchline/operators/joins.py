@@ -34,7 +34,7 @@ def hot_keys(
 
 def spread_join(
     left: DataFrame,
-    right: DataFrame,
+    right: DataFrame | Sequence[DataFrame],
     on: Sequence[str],
     how: str = "left",
     only_when: Column | None = None,
@@ -52,34 +52,37 @@ def spread_join(
     hash the row, so a task that is run again puts every row where it was. Without a hot key this is the plain
     join.
 
+    ``right`` may be several frames, joined in turn on the same keys; the left side is shuffled once for all.
     ``how`` is left, inner, left_semi or left_anti. ``only_when`` is a predicate on the left side that belongs
     to the join condition: rows that fail it stay, unmatched, in a left join.
 
     ``by`` names the key columns to look for hot values in, where some of ``on`` say enough: a composite key can
-    only be hot if each of its parts is. ``right_repeats`` says the right side may hold many rows per key and is
-    to be looked at too. ``hot`` and ``hot_right`` give the hot values of a side if the caller has them; they
-    decide how rows are dealt, never which rows come out.
+    only be hot if each of its parts is. ``right_repeats`` says the (last) right side may hold many rows per key
+    and is to be looked at too. ``hot`` and ``hot_right`` give the hot values of a side if the caller has them;
+    they decide how rows are dealt, never which rows come out.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
     on = list(on)
+    by = on if by is None else list(by)
+    rights = [right] if isinstance(right, DataFrame) else list(right)
     one_sided = how in ("left_semi", "left_anti")
     gate = F.lit(True) if only_when is None else F.coalesce(only_when, F.lit(False))
-    kept = [*left.columns, *([] if one_sided else [c for c in right.columns if c not in on])]
-    by = on if by is None else list(by)
+    kept = [*left.columns, *([] if one_sided else [c for r in rights for c in r.columns if c not in on])]
+    joins = [f"_on_{k}" for k in on]
     hot_left = hot_keys(left, by, share, min_rows) if hot is None else hot
     if one_sided or not right_repeats:
         hot_right = {}
     elif hot_right is None:
-        hot_right = hot_keys(right.dropna(subset=by), by, share, min_rows)
+        hot_right = hot_keys(rights[-1].dropna(subset=by), by, share, min_rows)
+
     if not hot_left and not hot_right:
-        if only_when is None:
-            return left.join(right, on, how).select(*kept)
-        gated = right.withColumnsRenamed({k: f"_r_{k}" for k in on})
-        match = gate
-        for k in on:
-            match = match & (left[k] == gated[f"_r_{k}"])
-        return left.join(gated, match, how).select(*[left[c] for c in left.columns], *kept[len(left.columns):])
+        keyed, keys = left, on
+        if only_when is not None:
+            keyed, keys = left.withColumns({j: F.when(gate, F.col(f"`{k}`")) for j, k in zip(joins, on)}), joins
+        for r in rights:
+            keyed = keyed.join(r.withColumnsRenamed(dict(zip(on, keys))), keys, how)
+        return keyed.select(*kept)
 
     parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -109,7 +112,14 @@ def spread_join(
     def each(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
-    joins = [f"_on_{k}" for k in on]
+    def copies(df: DataFrame, deal: bool) -> DataFrame:
+        salted = tagged(df.dropna(subset=on)).withColumn(
+            "_right", dealt("_rights", df.columns) if deal else each("_rights")
+        )
+        return salted.withColumn("_left", each("_lefts")).drop("_lefts", "_rights").withColumnsRenamed(
+            dict(zip(on, joins))
+        )
+
     alone = ~gate | F.expr(" or ".join(f"`{k}` is null" for k in on))
     keyed = (
         tagged(left)
@@ -121,19 +131,14 @@ def spread_join(
         .withColumn("_left", dealt("_lefts", left.columns))
         .withColumn("_right", each("_rights"))
     )
-    copies = (
-        tagged(right.dropna(subset=on))
-        .withColumn("_right", dealt("_rights", right.columns))
-        .withColumn("_left", each("_lefts"))
-        .drop("_lefts", "_rights")
-        .withColumnsRenamed(dict(zip(on, joins)))
-        .withColumn("_hit", F.lit(True))
-    )
-    joined = keyed.join(copies, [*joins, "_left", "_right"], how)
+    for r in rights:
+        last = r is rights[-1]
+        side = copies(r, deal=last)
+        keyed = keyed.join(side.withColumn("_hit", F.lit(True)) if last else side, [*joins, "_left", "_right"], how)
     if how == "left":
         # a copied left row has its match under some salt; under the others it is not an unmatched row
-        joined = joined.where((F.col("_rights") == 1) | F.col("_hit"))
-    return joined.select(*kept)
+        keyed = keyed.where((F.col("_rights") == 1) | F.col("_hit"))
+    return keyed.select(*kept)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -28,41 +28,36 @@ def message_events(
         F.lit(kind).alias("kind"),
         "event_time",
         *attributes,
-    )
+    ).dropna(subset=MESSAGE)
 
 
-def _is(kind: str) -> Column:
-    return F.col("kind") == kind
+def _when(kind: str, value: Column) -> Column:
+    return F.when(F.col("kind") == kind, value)
 
 
-def status_of_messages(
-    opens: DataFrame | None = None,
-    clicks: DataFrame | None = None,
-    bounces: DataFrame | None = None,
-    days: int = WINDOW_DAYS,
-    least: int | None = None,
-) -> DataFrame:
-    """First open, first click with the click count, and first bounce with its reason, per message.
+def first_opens_and_clicks(opens: DataFrame | None, clicks: DataFrame | None, days: int, least: int | None) -> DataFrame:
+    """First open, first click and click count per message.
 
-    The feeds are stacked and aggregated once, combined before the shuffle, so a busy contact costs one row per
-    task.
+    The feeds are stacked and aggregated once. Times and counts alone keep it a hash aggregate, combined before
+    the shuffle, so a busy contact costs one row per task.
     """
-    feeds, found = [], []
-    if opens is not None:
-        feeds.append(message_events(opens, "open", days, least))
-        found.append(F.min(F.when(_is("open"), F.col("event_time"))).alias("first_open"))
-    if clicks is not None:
-        feeds.append(message_events(clicks, "click", days, least))
-        found += [
-            F.min(F.when(_is("click"), F.col("event_time"))).alias("first_click"),
-            F.count(F.when(_is("click"), 1)).alias("clicks"),
-        ]
-    if bounces is not None:
-        why = ["bounce_type", "dsn_reason"]
-        feeds.append(message_events(bounces, "bounce", days, least, why))
-        found.append(F.min(F.when(_is("bounce"), F.struct("event_time", *why))).alias("first_bounce"))
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds)
-    return stacked.groupBy(*MESSAGE).agg(*found)
+    feeds = [
+        message_events(events, kind, days, least)
+        for kind, events in (("open", opens), ("click", clicks)) if events is not None
+    ]
+    return reduce(DataFrame.unionByName, feeds).groupBy(*MESSAGE).agg(
+        F.min(_when("open", F.col("event_time"))).alias("first_open"),
+        F.min(_when("click", F.col("event_time"))).alias("first_click"),
+        F.count(_when("click", F.lit(1))).alias("clicks"),
+    )
+
+
+def first_bounces(bounces: DataFrame, days: int, least: int | None) -> DataFrame:
+    """First bounce per message with its type and reason."""
+    why = ["bounce_type", "dsn_reason"]
+    return message_events(bounces, "bounce", days, least, why).groupBy(*MESSAGE).agg(
+        F.min(F.struct("event_time", *why)).alias("first_bounce")
+    )
 
 
 def apply_status(
@@ -75,13 +70,17 @@ def apply_status(
     least: int | None = None,
     open_is_contact: bool = True,
 ) -> DataFrame:
-    """All status columns in one pass: one aggregate over the feeds, one join, one projection.
+    """All status columns in one pass over the history: aggregate the feeds, join once, project once.
 
     Dates are filled only where they are NULL; click count and bounce reason follow the newest feed. Applying it
     twice changes nothing. Rows of other channels pass through.
     """
-    status = status_of_messages(opens, clicks, bounces, days, least)
-    joined = spread_join(history, status, MESSAGE, "left", only_when=F.col("channel") == channel)
+    answers = []
+    if opens is not None or clicks is not None:
+        answers.append(first_opens_and_clicks(opens, clicks, days, least))
+    if bounces is not None:
+        answers.append(first_bounces(bounces, days, least))
+    joined = spread_join(history, answers, MESSAGE, only_when=F.col("channel") == channel)
     new: dict[str, Column] = {}
     if opens is not None:
         new["open_dt"] = F.coalesce("open_dt", "first_open")
