@@ -96,15 +96,15 @@ def compose_day(
     raw = messages(sends, F.col("event_time"), none, none).unionByName(
         messages(cancels, none, F.col("event_time"), F.col("reason"))
     )
-    hot_numbers = hot_keys(offers, ["sub_acct_no"])
-    hot_accounts = {(f"{prefix}{number}",): share for (number,), share in hot_numbers.items() if number is not None}
     offered = spread_join(
-        current_offers(offers, run_day, prefix, channel=channel, since=offers_since, hot=hot_numbers),
+        current_offers(offers, run_day, prefix, channel=channel, since=offers_since),
         latest_links(links), ["id_oferta_int"], hot={},  # offer ids are surrogate, one row each: none is hot
     )
+    # the raw tables tell the hot accounts at the price of a scan of one column
+    offer_accounts = offers.select(prefixed_key(F.col("sub_acct_no"), prefix).alias("account_id"))
     account = stage(spread_join(
         contact_accounts(contact_ids), offered, ["account_id"], hot=hot_keys(contact_ids, ["account_id"]),
-        right_repeats=True, hot_right=hot_accounts,
+        right_repeats=True, hot_right=hot_keys(offer_accounts, ["account_id"]),
     ))
     campaign = latest_campaigns(campaigns, ["program_id"]).select(F.col("id").alias("campaign_id"), "program_id")
     program = programs.select(long_of(programs, "id").alias("program_id"), F.col("name").alias("campaign_name"))

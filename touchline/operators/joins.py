@@ -9,27 +9,56 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-HOT_SHARE = 1 / 256      # a key above this share of the rows is hot; so at most 256 keys per side are
+from touchline.functions.columns import quoted
+
+HOT_SHARE = 1 / 256      # a key above this share of the rows is hot
 HOT_ROWS = 1_000_000     # smaller groups are never worth splitting
 BROADCAST_ROWS = 10_000  # most rows a side may have to be broadcast by hint
+WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_MERGERS = 256           # tasks that merge the sketches of the scan tasks
+_NO_KEY = 0              # stands for a key with a NULL in it
+
+
+def key_kind(df: DataFrame, key: str) -> str:
+    kind = df.schema[key].dataType
+    return "whole number" if isinstance(kind, WHOLE) else kind.simpleString()
+
+
+def key_hash(df: DataFrame, keys: Sequence[str]) -> Column:
+    """One number per key, the same for whole numbers of any width; a key with a NULL has the number 0."""
+    parts = [quoted(k).cast("long") if isinstance(df.schema[k].dataType, WHOLE) else quoted(k) for k in keys]
+    known = parts[0].isNotNull()
+    for part in parts[1:]:
+        known = known & part.isNotNull()
+    return F.when(known, F.xxhash64(*parts)).otherwise(F.lit(_NO_KEY).cast("long"))
 
 
 def hot_keys(
     df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS
-) -> dict[tuple, float]:
-    """Key values that hold more than ``share`` of the rows, each with its share.
+) -> dict[int, float]:
+    """Hashes of the keys that hold more than ``share`` of the rows, each with its share.
 
-    One pass over the key columns, counted before the shuffle. No more than ``1/share`` keys can qualify, so
-    what reaches the driver is bounded whatever the data.
+    A sketch of the most frequent keys per scan task, merged by a few tasks: one pass over the key columns and no
+    shuffle of them. Counts may be a little off; they only decide how rows are spread. No more than ``1/share``
+    keys qualify, so what reaches the driver is bounded whatever the data.
     """
-    seen = Observation()
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).observe(seen, F.sum("_rows").alias("total"))
-    top = counts.where(F.col("_rows") >= min_rows).orderBy(F.desc("_rows")).limit(math.ceil(1 / share)).collect()
-    total = seen.get["total"] or 0
-    return {tuple(row)[:-1]: row["_rows"] / total for row in top if row["_rows"] > total * share}
+    most = math.ceil(1 / share)
+    merged = (
+        df.select(key_hash(df, keys).alias("_key"))
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(_MERGERS)).alias("_merger"))
+        .agg(F.expr(f"approx_top_k(_key, {2 * most}, {16 * most})").alias("_top"), F.count(F.lit(1)).alias("_all"))
+    )
+    # the count of all rows rides along as the item NULL
+    everything = F.struct(F.lit(None).cast("long").alias("item"), F.col("_all").alias("count"))
+    counts = merged.select(F.inline(F.array_append("_top", everything))).groupBy("item").agg(F.sum("count").alias("rows"))
+    top = {row["item"]: row["rows"] for row in
+           counts.where(F.col("rows") >= min_rows).orderBy(F.desc("rows")).limit(most + 1).collect()}
+    total = top.pop(None, 0)
+    return {key: rows / total for key, rows in top.items() if rows > total * share}
 
 
 def spread_join(
@@ -39,8 +68,8 @@ def spread_join(
     how: str = "left",
     only_when: Column | None = None,
     by: Sequence[str] | None = None,
-    hot: dict[tuple, float] | None = None,
-    hot_right: dict[tuple, float] | None = None,
+    hot: dict[int, float] | None = None,
+    hot_right: dict[int, float] | None = None,
     right_repeats: bool = False,
     share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
@@ -68,6 +97,10 @@ def spread_join(
     rights = [right] if isinstance(right, DataFrame) else list(right)
     one_sided = how in ("left_semi", "left_anti")
     gate = F.lit(True) if only_when is None else F.coalesce(only_when, F.lit(False))
+    for r in rights:
+        for k in by:
+            if key_kind(left, k) != key_kind(r, k):
+                raise TypeError(f"key {k} is {key_kind(left, k)} on the left, {key_kind(r, k)} on the right")
     kept = [*left.columns, *([] if one_sided else [c for r in rights for c in r.columns if c not in on])]
     joins = [f"_on_{k}" for k in on]
     hot_left = hot_keys(left, by, share, min_rows) if hot is None else hot
@@ -79,35 +112,30 @@ def spread_join(
     if not hot_left and not hot_right:
         keyed, keys = left, on
         if only_when is not None:
-            keyed, keys = left.withColumns({j: F.when(gate, F.col(f"`{k}`")) for j, k in zip(joins, on)}), joins
+            keyed, keys = left.withColumns({j: F.when(gate, quoted(k)) for j, k in zip(joins, on)}), joins
         for r in rights:
             keyed = keyed.join(r.withColumnsRenamed(dict(zip(on, keys))), keys, how)
         return keyed.select(*kept)
 
     parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def salts(found: dict[tuple, float], key: tuple) -> int:
+    def salts(found: dict[int, float], key: int) -> int:
         return max(2, math.ceil(parts * found[key])) if key in found else 1
 
-    names = [f"_hot_{k}" for k in by]
-    kinds = ", ".join(f"{n} {left.schema[k].dataType.simpleString()}" for n, k in zip(names, by))
     tags = left.sparkSession.createDataFrame(
-        [(*key, salts(hot_left, key), salts(hot_right, key)) for key in {**hot_left, **hot_right}],
-        f"{kinds}, _lefts int, _rights int",
+        [(key, salts(hot_left, key), salts(hot_right, key)) for key in {**hot_left, **hot_right} if key != _NO_KEY],
+        "_key long, _lefts int, _rights int",
     )
 
     def tagged(df: DataFrame) -> DataFrame:
-        same = F.lit(True)
-        for n, k in zip(names, by):
-            same = same & df[k].eqNullSafe(tags[n])
         # at most 2/share rows, by the way hot_keys selects them
+        marked = df.withColumn("_key", key_hash(df, by)).join(F.broadcast(tags), "_key", "left").drop("_key")
         one = F.lit(1)
-        return df.join(F.broadcast(tags), same, "left").drop(*names).withColumns(
-            {"_lefts": F.coalesce("_lefts", one), "_rights": F.coalesce("_rights", one)}
-        )
+        return marked.withColumns({"_lefts": F.coalesce("_lefts", one), "_rights": F.coalesce("_rights", one)})
 
     def dealt(count: str, columns: Sequence[str]) -> Column:
-        return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.col(count).cast("long")).cast("int")
+        salt = F.pmod(F.xxhash64(*[quoted(c) for c in columns]), F.col(count).cast("long")).cast("int")
+        return F.when(F.col(count) > 1, salt).otherwise(0)
 
     def each(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
@@ -123,7 +151,7 @@ def spread_join(
     alone = ~gate | F.expr(" or ".join(f"`{k}` is null" for k in on))
     keyed = (
         tagged(left)
-        .withColumns({j: F.when(gate, F.col(f"`{k}`")) for j, k in zip(joins, on)})
+        .withColumns({j: F.when(gate, quoted(k)) for j, k in zip(joins, on)})
         .withColumns({
             "_lefts": F.when(alone, F.lit(parts)).otherwise(F.col("_lefts")),
             "_rights": F.when(alone, F.lit(1)).otherwise(F.col("_rights")),
