@@ -109,14 +109,21 @@ def test_feeds_to_history_to_status(spark, frame, tmp_path):
         (1, True, "o"), (2, None, None), (2, None, None)]
 
 
-def test_calls(spark, tmp_path):
+def test_calls(spark, frame, tmp_path):
     (tmp_path / "outbound_feedback_autumn.csv").write_text(
         "Cuenta,Intento_discado_1,Intento_discado_2,Intento_discado_3,Hora_llamada,Disposicion,Comentarios\n"
         "11,1/5/2024,01/06/2024,,10:00,OFITi- Cliente acepta oferta,\n12,1/5/2024,,,10:00,busy,\n")
     feedback, history = f"{tmp_path}/feedback", f"{tmp_path}/history"
+    other = ("m", "spring", "202401", "20240105")
+    conform(frame("account_id string, campaign_name string, month string, day string, channel string",
+                  (*other, "email"), (*other, "Outbound_call")), schemas.HISTORY
+            ).write.partitionBy(*schemas.HISTORY_KEYS).parquet(history)
     for _ in range(2):
-        jobs.load_calls(spark, f"{tmp_path}/outbound_feedback_autumn.csv", feedback, history, RUN, "ACC_", "autumn", "f1")
-    got = spark.read.schema(schemas.HISTORY + ", batch string").parquet(history)
+        jobs.load_calls(spark, f"{tmp_path}/outbound_feedback_autumn.csv", feedback, history, RUN, "ACC_", "autumn")
+    whole = spark.read.schema(schemas.HISTORY).parquet(history)
+    assert rows_of(whole.where("campaign_name = 'spring'"), "account_id", "channel") == [
+        ("m", "Outbound_call"), ("m", "email")]
+    got = whole.where("campaign_name = 'autumn'")
     assert rows_of(got, "account_id", "comm_dt", "contact_dt", "day") == sorted([
         ("ACC_11", DAY, None, "20240105"), ("ACC_11", dt.date(2024, 1, 6), dt.datetime(2024, 1, 6), "20240106"),
         ("ACC_12", DAY, None, "20240105")], key=repr)
@@ -124,7 +131,7 @@ def test_calls(spark, tmp_path):
     assert calls.count() == 2 and calls.select("csv_origen").first()[0] == "outbound_feedback_autumn.csv"
 
     audience = f"{tmp_path}/audience"
-    conform(got.drop("batch"), schemas.HISTORY).write.partitionBy(*schemas.HISTORY_KEYS).parquet(audience)
+    got.write.partitionBy(*schemas.HISTORY_KEYS).parquet(audience)
     jobs.refresh_call_contact(spark, audience, calls, DAY)
     rows = spark.read.schema(schemas.HISTORY).parquet(audience)
     assert rows_of(rows.where(F.col("comm_dt") == DAY), "account_id", "contact_dt") == [

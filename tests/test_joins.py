@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows_of
+from touchline.operators import joins
 from touchline.operators.joins import hot_keys, key_hash, small, spread_join
 
 SPLIT = {"share": 1 / 30, "min_rows": 5}
@@ -76,6 +77,16 @@ def test_unknown_join_refused(frame):
         spread_join(df, df, ["k"], "right")
 
 
+def test_lookup_in_a_short_and_a_long_list(frame, monkeypatch):
+    left = frame("id int, k int", *enumerate(skewed(random.Random(5), 120, range(40))))
+    right = frame("k int, v int", *[(k, -k) for k in range(30)])
+    short = joins.lookup_join(left, right, ["k"])
+    monkeypatch.setattr(joins, "small", lambda df: df)
+    long = joins.lookup_join(left, right, ["k"], probe=left.select("k"))
+    assert rows_of(short) == rows_of(long) == rows_of(left.join(right, ["k"], "left").select("id", "k", "v"))
+    assert "BroadcastHashJoin" in short._jdf.queryExecution().executedPlan().toString()
+
+
 def test_small_checks_the_size(frame):
     df = frame("k int", (1,), (2,), (3,))
     assert small(df, 2) is df

@@ -61,6 +61,22 @@ def test_batch_comes_once(spark, frame, root):
     assert rows_of(read(spark, root, schema)) == [(*A, "two"), (*C, "one")]
 
 
+def test_batch_among_others(spark, frame, root):
+    schema = "id int, file string, month string, day string"
+    row = lambda id, file, key: (id, file, *key[1:])
+    sink.write_partitions(frame(schema, row(1, "f", A), row(2, "g", A), row(3, "f", B), row(4, "g", C)), root,
+                          ["month", "day"])
+    for _ in range(2):
+        sink.merge_batch(frame(schema, row(8, "f", A), row(9, "f", C)), root, ["month", "day"], "file", "f")
+    assert rows_of(read(spark, root, schema)) == [row(2, "g", A), row(4, "g", C), row(8, "f", A), row(9, "f", C)]
+
+
+def test_rows_counted_by_the_write(spark, frame, root):
+    df, count = sink.observed(frame(T, A, B, C))
+    sink.snapshot(df, root)
+    assert count.get == {"rows": 3}
+
+
 def test_odd_partition_values(spark, frame, root):
     S = "id int, k string"
     sink.write_partitions(frame(S, (1, "a/b=c"), (2, "x y")), root, ["k"])

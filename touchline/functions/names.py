@@ -8,23 +8,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Dates as they appear in file names, with and without separators.
-DASHED_DATE = r"(\d{4})\D+(\d{2})\D+(\d{2})"
-COMPACT_DATE = r"(\d{4})(\d{2})(\d{2})"
-
-
-def _date_digits(name: Column, pattern: str) -> Column:
-    digits = F.concat(*[F.regexp_extract(name, pattern, i) for i in (1, 2, 3)])
-    return F.nullif(digits, F.lit(""))
+DASHED_DATE = r"\d{4}\D+\d{2}\D+\d{2}"
+COMPACT_DATE = r"\d{8}"
 
 
 def dashed_date(name: Column) -> Column:
     """``yyyyMMdd`` from a name like ``x_2023-08-17.csv``; NULL when there is none."""
-    return _date_digits(name, DASHED_DATE)
+    return F.regexp_replace(F.regexp_substr(name, F.lit(DASHED_DATE)), r"\D", "")
 
 
 def compact_date(name: Column) -> Column:
     """``yyyyMMdd`` from a name like ``x_20230817.csv``; NULL when there is none."""
-    return _date_digits(name, COMPACT_DATE)
+    return F.regexp_substr(name, F.lit(COMPACT_DATE))
 
 
 def campaign_of_export(name: Column, channel: str, skip: int = 5) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.columns import conform, contains_any, long_of, prefixed_key, stamp, stripped_key, with_constants
 from touchline.functions.dates import day_key, month_key, on_day, parse_date
-from touchline.operators.joins import hot_keys, small, spread_join
+from touchline.operators.joins import hot_keys, lookup_join, spread_join
 from touchline.operators.latest import latest_per_key, latest_with_ties
 from touchline.session import stage
 from touchline.schemas import CONTACTED_DISPOSITIONS, HISTORY, SIMPLE_HISTORY
@@ -108,10 +108,10 @@ def compose_day(
     ))
     campaign = latest_campaigns(campaigns, ["program_id"]).select(F.col("id").alias("campaign_id"), "program_id")
     program = programs.select(long_of(programs, "id").alias("program_id"), F.col("name").alias("campaign_name"))
-    named = campaign.join(small(program), "program_id", "left")
+    named = lookup_join(campaign, program, ["program_id"])
     base = raw.distinct()
     of_contact = spread_join(base, account, ["contact_id"], hot=hot_keys(raw, ["contact_id"]), right_repeats=True)
-    full = spread_join(of_contact, named, ["campaign_id"], hot=hot_keys(raw, ["campaign_id"]))
+    full = lookup_join(of_contact, named, ["campaign_id"], probe=raw)
     rows = full.withColumn("sub_acct_no_sbb", stripped_key(F.col("account_id"), prefix)).withColumn(
         "channel", F.lit(channel)
     )
@@ -130,7 +130,7 @@ def compose_simple(
     names = latest_campaigns(campaigns.select("id", "name", "event_time"), ["name"]).select(
         F.col("id").alias("campaign_id"), F.col("name").alias("campaign_name")
     )
-    rows = spread_join(events, names, ["campaign_id"]).withColumn("channel", F.lit(channel))
+    rows = lookup_join(events, names, ["campaign_id"]).withColumn("channel", F.lit(channel))
     return stamp(conform(rows, SIMPLE_HISTORY), run_day)
 
 

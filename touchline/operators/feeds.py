@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.columns import conform, long_of, stamp
 from touchline.functions.dates import on_day, trailing_days
-from touchline.operators.joins import spread_join
+from touchline.operators.joins import lookup_join
 from touchline.schemas import FEEDS
 
 
@@ -49,7 +49,7 @@ def event_feed(
         if campaign_ids is not None:
             typed = timely.withColumn("_campaign", long_of(timely, "campaign_id"))
             allowed = campaign_ids.select(F.col("campaign_id").alias("_campaign"))
-            timely = spread_join(typed, allowed, ["_campaign"], "left_semi")
+            timely = lookup_join(typed, allowed, ["_campaign"], "left_semi")
     return stamp(conform(timely, FEEDS[kind]), run_day)
 
 

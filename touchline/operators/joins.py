@@ -17,7 +17,7 @@ from touchline.functions.columns import quoted
 
 HOT_SHARE = 1 / 256      # a key above this share of the rows is hot
 HOT_ROWS = 1_000_000     # smaller groups are never worth splitting
-BROADCAST_ROWS = 10_000  # most rows a side may have to be broadcast by hint
+BROADCAST_ROWS = 50_000  # most rows a (narrow) side may have to be broadcast by hint
 WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _MERGERS = 256           # tasks that merge the sketches of the scan tasks
 _NO_KEY = 0              # stands for a key with a NULL in it
@@ -175,3 +175,14 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     The count stops at the bound, so it never runs over a large table to the end.
     """
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def lookup_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", probe: DataFrame | None = None
+) -> DataFrame:
+    """Join to a list that is mostly short, such as campaigns: broadcast if its counted size allows, so that the left
+    side stays where it is; :func:`spread_join` beyond that, hot keys being looked for in ``probe``."""
+    side = small(right)
+    if side is not right:
+        return spread_join(left, side, on, how, hot={}, hot_right={})
+    return spread_join(left, right, on, how, hot=hot_keys(left if probe is None else probe, on))

@@ -109,13 +109,18 @@ def typed_call_feedback(raw: DataFrame, prefix: str) -> DataFrame:
 
 def load_calls(
     spark: SparkSession, path: str, feedback_root: str, history_root: str, run: RunTime, prefix: str,
-    campaign_name: str, batch: str,
+    campaign_name: str,
 ) -> None:
-    """Store a call-feedback file and add its dial attempts to the history as one batch."""
+    """Store a call-feedback file and add its dial attempts to the history.
+
+    The campaign name, which comes from the file name, tells the file's rows: loading it again replaces them.
+    """
     calls = typed_call_feedback(read_csv(spark, path, with_name=True), prefix)
     sink.write_partitions(stamp(calls, run, "hour"), feedback_root, ARRIVAL_KEYS, gather=False)
     rows = compose.call_rows(compose.attempts_to_communications(calls, campaign_name))
-    sink.append_batch(rows, history_root, HISTORY_KEYS, batch)
+    sink.merge_batch(
+        rows, history_root, HISTORY_KEYS, "campaign_name", campaign_name, F.col("channel") == compose.CALL_CHANNEL
+    )
 
 
 def refresh_call_contact(

@@ -13,7 +13,7 @@ from touchline.functions import names as N
 from touchline.operators import audience, compose, feeds, latest, offers, status
 from touchline.operators.attribution import attribute_conversions, typed_conversions
 from touchline.operators.ids import dense_ids, last_id
-from touchline.operators.joins import small, spread_join
+from touchline.operators.joins import lookup_join, spread_join
 from touchline.operators.mirror import Mirror, mirror, replaced_range, replaced_slice
 from touchline.plans.registry import query
 from touchline.plans.views import RUN_DAY, Tables
@@ -355,7 +355,7 @@ def left_lookup_on_literal(t: Tables) -> DataFrame:
            AS weight FROM contact_history""", "contact_history")
 def channel_weights(t: Tables) -> DataFrame:
     weights = S.local_table(t.spark, [("1-URGENT", 1), ("2-HIGH", 2), ("3-MEDIUM", 3)], "channel string, weight int")
-    return t.contact_history.join(small(weights), "channel", "left").select("comm_id", "account_id", "weight")
+    return lookup_join(t.contact_history, weights, ["channel"]).select("comm_id", "account_id", "weight")
 
 
 @query("""
@@ -364,7 +364,7 @@ def channel_weights(t: Tables) -> DataFrame:
 def semi_join_campaigns(t: Tables) -> DataFrame:
     ids = feeds.program_campaigns(t.campaigns, feeds.tagged_programs(t.programs, "#2"))
     rows = t.ev.withColumn("campaign_id", F.col("k").cast("long"))
-    return spread_join(rows, ids, ["campaign_id"], "left_semi").select("event_id", "k")
+    return lookup_join(rows, ids, ["campaign_id"], "left_semi").select("event_id", "k")
 
 
 @query("""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.session import stage
@@ -85,6 +85,33 @@ def append_batch(df: DataFrame, root: str, keys: Sequence[str], batch: str, batc
     replace_where(tagged, root, [*keys, batch_key], F.col(batch_key) == F.lit(batch))
 
 
+def merge_batch(
+    df: DataFrame, root: str, keys: Sequence[str], batch_column: str, batch: str, scope: Column | None = None
+) -> None:
+    """Add rows to partitions shared with other batches; rows of the same batch from an earlier run give way.
+
+    ``batch_column`` is a column of the table that names the batch; ``scope`` (on the partition keys) bounds where
+    its earlier rows are looked for. Only partitions with old or new rows of the batch are rewritten.
+    """
+    spark = df.sparkSession
+    keys = list(keys)
+    new = stage(df)
+    stored = _stored(spark, root, df.schema)
+    earlier = stored.where(F.col(batch_column) == F.lit(batch))
+    if scope is not None:
+        earlier = earlier.where(scope)
+    # partition values only, as many as the batch has days
+    touched = earlier.select(*keys).union(new.select(*keys)).distinct().collect()
+    here = F.lit(False)
+    for values in touched:
+        same = F.lit(True)
+        for key, value in zip(keys, values):
+            same = same & F.col(key).eqNullSafe(F.lit(value))
+        here = here | same
+    others = stored.where(here & ~F.col(batch_column).eqNullSafe(F.lit(batch)))
+    replace_where(others.unionByName(new), root, keys, here)
+
+
 def append(df: DataFrame, root: str, keys: Sequence[str] = ()) -> None:
     """Plain append; the caller sees to it that a batch comes once."""
     writer = df.write.mode("append")
@@ -116,6 +143,12 @@ def write_if_rows(df: DataFrame, write) -> bool:
     return True
 
 
+def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` and its row count, which is known once the frame has been written: no pass of its own."""
+    count = Observation()
+    return df.observe(count, F.count(F.lit(1)).alias("rows")), count
+
+
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     if df.isEmpty():
         raise ValueError(f"{what} is empty")
