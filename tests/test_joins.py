@@ -31,6 +31,17 @@ def test_equals_plain_join(frame, how, gated, seed):
     assert rows_of(split) == rows_of(plain)
 
 
+def test_keys_said_to_be_hot_need_not_be_there(frame):
+    left = frame("a int, b int, id int", *[(i % 5, i % 3, i) for i in range(40)], (None, 1, 99))
+    right = frame("a int, b int, v int", *[(1, 0, i) for i in range(20)], (2, 1, 77))
+    plain = rows_of(left.join(right, ["a", "b"], "left").select("a", "b", "id", "v"))
+    keys = [r[0] for r in left.select(key_hash(left, ["a"])).distinct().collect()]
+    said = {key: 0.2 for key in keys}
+    for hot in ({}, said):
+        got = spread_join(left, right, ["a", "b"], by=["a"], hot=hot, hot_right=said, right_repeats=True)
+        assert rows_of(got) == plain
+
+
 def test_several_right_sides(frame):
     rng = random.Random(3)
     left = frame("id int, k int", *enumerate(skewed(rng, 150, range(40))))

@@ -22,7 +22,8 @@ def tagged_programs(programs: DataFrame, tag: str) -> DataFrame:
 def program_campaigns(campaigns: DataFrame, programs: DataFrame) -> DataFrame:
     """Ids of the campaigns that belong to one of the programs."""
     allowed = programs.select(F.col("id").alias("program_id")).distinct()
-    return campaigns.join(allowed, "program_id", "left_semi").select(F.col("id").alias("campaign_id")).distinct()
+    chosen = lookup_join(campaigns, allowed, ["program_id"], "left_semi")
+    return chosen.select(F.col("id").alias("campaign_id")).distinct()
 
 
 def event_feed(
@@ -43,7 +44,8 @@ def event_feed(
                           else trailing_days(F.col("event_time"), run_day, days))
     if kind == "campaigns":
         if program_ids is not None:
-            timely = timely.join(program_ids.select("program_id").distinct(), "program_id", "left_semi")
+            wanted = program_ids.select("program_id").distinct()
+            timely = lookup_join(timely, wanted, ["program_id"], "left_semi")
     else:
         timely = timely.where(F.col("contact_id").isNotNull())
         if campaign_ids is not None:

@@ -117,6 +117,10 @@ def spread_join(
             keyed = keyed.join(r.withColumnsRenamed(dict(zip(on, keys))), keys, how)
         return keyed.select(*kept)
 
+    if hot_right and len(rights) > 1:
+        first = spread_join(left, rights[:-1], on, how, only_when, by, hot_left, {}, False, share, min_rows)
+        return spread_join(first, rights[-1], on, how, only_when, by, hot_left, hot_right, True, share, min_rows)
+
     parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def salts(found: dict[int, float], key: int) -> int:
@@ -163,10 +167,16 @@ def spread_join(
         last = r is rights[-1]
         side = copies(r, deal=last)
         keyed = keyed.join(side.withColumn("_hit", F.lit(True)) if last else side, [*joins, "_left", "_right"], how)
-    if how == "left":
-        # a copied left row has its match under some salt; under the others it is not an unmatched row
-        keyed = keyed.where((F.col("_rights") == 1) | F.col("_hit"))
-    return keyed.select(*kept)
+    if how != "left" or not hot_right:
+        return keyed.select(*kept)
+
+    # A left row copied to the salts of a hot right key is unmatched under some of them though it has a match under
+    # another. Such rows go, and the copied rows whose whole key is missing on the right come back once.
+    matched = keyed.where((F.col("_rights") == 1) | F.col("_hit")).select(*kept)
+    copied = tagged(left).where(~alone & (F.col("_rights") > 1)).select(*left.columns)
+    present = tagged(rights[0]).where(F.col("_rights") > 1).select(*on).distinct()
+    missing = spread_join(copied, present, on, "left_anti", by=by, hot=hot_left)
+    return matched.unionByName(missing, allowMissingColumns=True)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

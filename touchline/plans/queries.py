@@ -88,6 +88,21 @@ def url_base_name(t: Tables) -> DataFrame:
     return t.pages.select("page_id", N.base_name(F.col("url")).alias("file_name"))
 
 
+@query("""
+    SELECT o_orderkey AS order_no, CAST(o_custkey AS VARCHAR) AS account, o_orderdate AS placed,
+           CAST(NULL AS INTEGER) AS program_id
+    FROM orders WHERE o_orderstatus = 'O' AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)""")
+def sql_feed(t: Tables) -> DataFrame:
+    t.orders.createOrReplaceTempView("feed_orders")
+    t.customer.createOrReplaceTempView("feed_customers")
+    return S.from_sql(
+        t.spark, """
+        select o_orderkey as order_no, o_custkey as account, o_orderdate as placed from feed_orders
+        where o_orderstatus = :status and o_custkey in (select c_custkey from feed_customers where c_acctbal > 0)""",
+        "order_no long, account string, placed timestamp_ntz, program_id int", status="O",
+    )
+
+
 # --- event feeds -----------------------------------------------------------------------------------------
 
 FEED_OF_TYPE = {

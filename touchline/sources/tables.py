@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.functions.columns import read_ddl
+from touchline.functions.columns import conform, read_ddl
 
 
 def scan(spark: SparkSession, source: str) -> DataFrame:
@@ -33,6 +33,11 @@ def slice_between(df: DataFrame, key: str, low: object, high: object) -> DataFra
     return df.where(F.col(key).between(F.lit(low), F.lit(high)))
 
 
+def from_sql(spark: SparkSession, sql: str, schema: str | T.StructType, **args: object) -> DataFrame:
+    """The result of a query over tables and views, in a declared schema; ``:name`` in it stands for an argument."""
+    return conform(spark.sql(sql, args=args), schema)
+
+
 def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A small table from rows the caller wrote down, such as a program list."""
     return spark.createDataFrame(list(rows), schema)
