@@ -9,7 +9,7 @@ from touchline.operators import joins
 
 JOINED = ("status_combined first_bounce left_lookup_on_literal left_lookup_dedup existence_semi "
           "latest_offers_with_ties semi_join_campaigns feed_opens compose_simple compose_full attribute_conversions "
-          "offers_links_in offers_links_out offers_rpp").split()
+          "offers_links_in offers_rpp").split()
 
 
 @pytest.mark.parametrize("name", JOINED)

@@ -8,7 +8,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.session import stage
+from touchline.session import stage, staged
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number in the partition below
 
@@ -27,14 +27,14 @@ def dense_ids(df: DataFrame, order: Sequence[str], id_column: str, start: int =
     """
     spark = df.sparkSession
     rest = [c for c in df.columns if c not in order]
-    arrived = stage(df.withColumn("_arrival", F.monotonically_increasing_id()))
-    sort_keys = [*[F.col(c) for c in [*order, *rest]], F.col("_arrival")]
-    placed = stage(
-        arrived.repartitionByRange(*sort_keys)
-        .sortWithinPartitions(*sort_keys)
-        .drop("_arrival")
-        .withColumn("_place", F.monotonically_increasing_id())
-    )
+    with staged(df.withColumn("_arrival", F.monotonically_increasing_id())) as arrived:
+        sort_keys = [*[F.col(c) for c in [*order, *rest]], F.col("_arrival")]
+        placed = stage(
+            arrived.repartitionByRange(*sort_keys)
+            .sortWithinPartitions(*sort_keys)
+            .drop("_arrival")
+            .withColumn("_place", F.monotonically_increasing_id())
+        )
     block = F.shiftright("_place", _ROW_BITS)
     sizes = placed.groupBy(block.alias("_block")).agg(F.count(F.lit(1)).alias("_rows")).orderBy("_block").collect()
     before = accumulate((row["_rows"] for row in sizes), initial=start)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.columns import apply_mapping, long_of, stamp
-from touchline.functions.dates import RunTime, ms_to_date, parse_date
+from touchline.functions.dates import RunTime, day_key, ms_to_date, parse_date
 from touchline.operators.ids import dense_ids
 from touchline.operators.joins import spread_join
 from touchline.operators.latest import latest_per_key
@@ -76,19 +76,22 @@ def offers_links_out(offered: DataFrame, links: DataFrame, run: RunTime) -> Data
     """Links matched to the offers requested on the day of generation; the newest batch wins per account.
 
     Columns of ``offered``: SUB_ACCT_NO_SBB, id_oferta_int, day, day_hour. Within a batch the greater offer id,
-    then the greater link, decides.
+    then the greater link, decides. As only the greatest of an account can win, both sides are reduced to one row
+    per account and day before they meet: no pairs, and no key left to be hot.
     """
     requested = offered.select(
-        long_of(offered, "SUB_ACCT_NO_SBB").alias("account"),
-        parse_date(F.col("day").cast("string"), ["yyyyMMdd"]).alias("LINK_GENERATED_DT"),
-        "SUB_ACCT_NO_SBB", "id_oferta_int", "day_hour",
+        long_of(offered, "SUB_ACCT_NO_SBB").alias("account"), "day", "SUB_ACCT_NO_SBB", "id_oferta_int", "day_hour"
     )
-    matched = spread_join(requested, links, ["account", "LINK_GENERATED_DT"], "inner", by=["account"], right_repeats=True)
+    newest = latest_per_key(requested, ["account", "SUB_ACCT_NO_SBB", "day"], ["day_hour", "id_oferta_int"])
+    # the request's day is a partition key: joined as it is, it can prune the scan
+    of_day = links.withColumn("day", day_key(F.col("LINK_GENERATED_DT")))
+    greatest = latest_per_key(of_day, ["account", "day"], ["LINK", "LINK_EXPIRATION_DT"])
+    matched = newest.join(greatest, ["account", "day"])
     columns = ["SUB_ACCT_NO_SBB", "LINK", "LINK_GENERATED_DT", "LINK_EXPIRATION_DT", "id_oferta_int"]
-    newest = latest_per_key(
+    won = latest_per_key(
         matched.select(*columns, "day_hour"), ["SUB_ACCT_NO_SBB"], ["day_hour", "id_oferta_int", "LINK"]
     )
-    return stamp(newest.select(*columns), run, "hour")
+    return stamp(won.select(*columns), run, "hour")
 
 
 def offers_packages(offers: DataFrame, requests: DataFrame, run: RunTime) -> DataFrame:

@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.functions.columns import conform, stamp
-from touchline.functions.dates import RunTime, parse_date
+from touchline.functions.dates import RunTime, parse_date, trailing_days
 from touchline.operators import audience, compose, feeds, offers, status
 from touchline.operators.attribution import attribute_conversions, typed_conversions
 from touchline.operators.ids import last_id
 from touchline.operators.mirror import Mirror, mirror
 from touchline.plans import mirrors
 from touchline.schemas import CALL_FEEDBACK, CONVERSIONS, HISTORY, HISTORY_KEYS, OFFERS_IN
-from touchline.session import stage
+from touchline.session import staged
 from touchline.sinks import handoff
 from touchline.sinks import partitions as sink
 from touchline.sources.files import read_csv, read_export, read_pages
@@ -93,8 +93,14 @@ def refresh_status(
     spark: SparkSession, history_root: str, run_day: dt.date, opens: DataFrame, clicks: DataFrame, bounces: DataFrame,
     channel: str = "email", days: int = 1,
 ) -> None:
-    """Bring the status of the last ``days`` days of one channel up to date, in one pass over their partitions."""
+    """Bring the status of the last ``days`` days of one channel up to date, in one pass over their partitions.
+
+    Of the feeds only answers to messages of those days are read.
+    """
     low = run_day - dt.timedelta(days=days - 1)
+    opens, clicks, bounces = (
+        feed.where(trailing_days(F.col("email_sent_at"), run_day, days)) for feed in (opens, clicks, bounces)
+    )
     stored = spark.read.schema(HISTORY).parquet(history_root)
     rows = slice_between(slice_eq(stored, channel=channel), "day", f"{low:%Y%m%d}", f"{run_day:%Y%m%d}")
     sink.write_partitions(status.apply_status(rows, opens, clicks, bounces, channel), history_root, HISTORY_KEYS)
@@ -126,8 +132,11 @@ def load_calls(
 def refresh_call_contact(
     spark: SparkSession, history_root: str, feedback: DataFrame, run_day: dt.date, channel: str = compose.CALL_CHANNEL
 ) -> None:
-    rows = slice_eq(spark.read.schema(HISTORY).parquet(history_root), day=f"{run_day:%Y%m%d}", channel=channel)
-    sink.write_partitions(status.apply_call_contact(rows, feedback), history_root, HISTORY_KEYS, gather=False)
+    """Contact dates of a day's call rows from the call feedback stored that day."""
+    day = f"{run_day:%Y%m%d}"
+    rows = slice_eq(spark.read.schema(HISTORY).parquet(history_root), day=day, channel=channel)
+    rows = status.apply_call_contact(rows, slice_eq(feedback, day=day))
+    sink.write_partitions(rows, history_root, HISTORY_KEYS, gather=False)
 
 
 def attribute(spark: SparkSession, history_root: str, conversions: DataFrame) -> None:
@@ -153,9 +162,9 @@ def load_offers(spark: SparkSession, path: str, root: str, run: RunTime) -> None
 
 
 def request_links(offers_view: DataFrame, requests: DataFrame, root: str, folder: str, run: RunTime) -> None:
-    rows = stage(offers.offers_links_in(offers_view, requests, run))
-    sink.write_partitions(rows, root, ARRIVAL_KEYS, gather=False)
-    handoff.write_csv(rows, folder, drop=["ID_OFERTA_INT", *ARRIVAL_KEYS])
+    with staged(offers.offers_links_in(offers_view, requests, run)) as rows:
+        sink.write_partitions(rows, root, ARRIVAL_KEYS, gather=False)
+        handoff.write_csv(rows, folder, drop=["ID_OFERTA_INT", *ARRIVAL_KEYS])
 
 
 def store_links(spark: SparkSession, path: str, offered_root: str, root: str, run: RunTime) -> None:
@@ -165,9 +174,9 @@ def store_links(spark: SparkSession, path: str, offered_root: str, root: str, ru
 
 
 def request_packages(offers_view: DataFrame, requests: DataFrame, root: str, folder: str, run: RunTime) -> None:
-    rows = stage(offers.offers_packages(offers_view, requests, run))
-    sink.write_partitions(rows, root, ARRIVAL_KEYS, gather=False)
-    handoff.write_csv(offers.packages_handoff(rows), folder)
+    with staged(offers.offers_packages(offers_view, requests, run)) as rows:
+        sink.write_partitions(rows, root, ARRIVAL_KEYS, gather=False)
+        handoff.write_csv(offers.packages_handoff(rows), folder)
 
 
 # --- accounts and contacts -------------------------------------------------------------------------------
@@ -198,9 +207,9 @@ def load_contact_export(spark: SparkSession, path: str, root: str, run: RunTime)
 def load_call_audience(spark: SparkSession, path: str, root: str, folder: str, run: RunTime) -> None:
     """Store a call-centre export and hand it on; an empty file is an error."""
     export = sink.require_rows(read_export(spark, path, with_name=True), path)
-    rows = stage(audience.call_audience(export, run))
-    sink.write_partitions(rows, root, ARRIVAL_KEYS, gather=False)
-    handoff.write_csv(rows, folder, drop=["channel", "campaign_name", *ARRIVAL_KEYS])
+    with staged(audience.call_audience(export, run)) as rows:
+        sink.write_partitions(rows, root, ARRIVAL_KEYS, gather=False)
+        handoff.write_csv(rows, folder, drop=["channel", "campaign_name", *ARRIVAL_KEYS])
 
 
 def load_paged_contacts(spark: SparkSession, pages: str, root: str, key: str, prefix: str) -> None:

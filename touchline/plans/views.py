@@ -154,7 +154,7 @@ VIEWS_SQL = {
                value, ts AS event_time, TIMESTAMP '{RUN_DAY}' + (ts - date_trunc('day', ts)) AS load_time
         FROM events""",
     "feed": """
-        SELECT contact_id, event_id AS launch_id, event_type AS campaign_type, k AS campaign_id,
+        SELECT contact_id, event_id AS launch_id, event_type AS campaign_type, CAST(k AS BIGINT) AS campaign_id,
                load_time AS event_time, CAST(load_time AS DATE) - (k % 20) AS email_sent_at, 'mail' || k AS domain,
                k AS message_id, contact_id AS customer_id, 'reason ' || k AS reason, 'reason ' || k AS dsn_reason,
                CASE WHEN value > 50 THEN 'hard' ELSE 'soft' END AS bounce_type, 'link' || k AS link_id, event_type

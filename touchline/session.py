@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,13 +53,28 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stage(df: DataFrame, folder: str | None = None) -> DataFrame:
+def stage(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and read it back.
 
     Two passes over the result then see the same rows, also when an executor is lost in between. Unlike a
     checkpoint the copy is columnar, so a pass over one column reads one column.
     """
     spark = df.sparkSession
-    path = f"{folder or shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    path = path or new_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def new_path(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """A staged table for the length of a block; emptied afterwards, so that it takes no space."""
+    spark = df.sparkSession
+    path = new_path(spark)
+    try:
+        yield stage(df, path)
+    finally:
+        spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)

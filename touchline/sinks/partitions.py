@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.session import stage
+from touchline.session import stage, staged
 from touchline.sources.tables import optional
 
 
@@ -52,13 +52,12 @@ def replace_where(df: DataFrame, root: str, keys: Sequence[str], where: Column)
     """
     spark = df.sparkSession
     keys = list(keys)
-    old = _stored(spark, root, df.schema).where(where).select(*keys).distinct().collect()
-    staged = stage(df)
-    outside = staged.where(~F.coalesce(where, F.lit(False)))
-    if not outside.isEmpty():
-        raise ValueError("new rows lie outside the range to replace")
-    fresh = {tuple(row) for row in staged.select(*keys).distinct().collect()}
-    write_partitions(staged, root, keys)
+    with staged(df) as rows:
+        if not rows.where(~F.coalesce(where, F.lit(False))).isEmpty():
+            raise ValueError("new rows lie outside the range to replace")
+        old = _stored(spark, root, df.schema).where(where).select(*keys).distinct().collect()
+        fresh = {tuple(row) for row in rows.select(*keys).distinct().collect()}
+        write_partitions(rows, root, keys)
     nothing = spark.createDataFrame([], df.drop(*keys).schema)
     for values in (tuple(row) for row in old):
         if values not in fresh:
@@ -95,21 +94,21 @@ def merge_batch(
     """
     spark = df.sparkSession
     keys = list(keys)
-    new = stage(df)
     stored = _stored(spark, root, df.schema)
     earlier = stored.where(F.col(batch_column) == F.lit(batch))
     if scope is not None:
         earlier = earlier.where(scope)
-    # partition values only, as many as the batch has days
-    touched = earlier.select(*keys).union(new.select(*keys)).distinct().collect()
-    here = F.lit(False)
-    for values in touched:
-        same = F.lit(True)
-        for key, value in zip(keys, values):
-            same = same & F.col(key).eqNullSafe(F.lit(value))
-        here = here | same
-    others = stored.where(here & ~F.col(batch_column).eqNullSafe(F.lit(batch)))
-    replace_where(others.unionByName(new), root, keys, here)
+    with staged(df) as new:
+        # partition values only, as many as the batch has days
+        touched = earlier.select(*keys).union(new.select(*keys)).distinct().collect()
+        here = F.lit(False)
+        for values in touched:
+            same = F.lit(True)
+            for key, value in zip(keys, values):
+                same = same & F.col(key).eqNullSafe(F.lit(value))
+            here = here | same
+        others = stored.where(here & ~F.col(batch_column).eqNullSafe(F.lit(batch)))
+        replace_where(others.unionByName(new), root, keys, here)
 
 
 def append(df: DataFrame, root: str, keys: Sequence[str] = ()) -> None:
