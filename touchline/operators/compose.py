@@ -106,7 +106,8 @@ def compose_day(
         contact_accounts(contact_ids), offered, ["account_id"], hot=hot_keys(contact_ids, ["account_id"]),
         right_repeats=True, hot_right=hot_keys(offer_accounts, ["account_id"]),
     ))
-    campaign = latest_campaigns(campaigns, ["program_id"]).select(F.col("id").alias("campaign_id"), "program_id")
+    versions = campaigns.select("id", "event_time", "program_id")
+    campaign = latest_campaigns(versions, ["program_id"]).select(F.col("id").alias("campaign_id"), "program_id")
     program = programs.select(long_of(programs, "id").alias("program_id"), F.col("name").alias("campaign_name"))
     named = lookup_join(campaign, program, ["program_id"])
     base = raw.distinct()

@@ -1,37 +1,33 @@
 """Latest and first row per key, as aggregates.
 
-``max_by``/``min_by`` combine on the map side, so a key with a third of all rows ships one row per task; a
+The greatest or least row is combined on the map side, so a key with a third of all rows ships one row per task; a
 ranking window would sort that whole group in one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.operators.joins import spread_join
 
 
-def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], by) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
-    return (
-        df.groupBy(*keys)
-        .agg(by(F.struct(*rest), F.struct(*order)).alias("_row"))
-        .select(*keys, *[F.col(f"_row.`{c}`").alias(c) for c in rest])
-        .select(*df.columns)
-    )
+def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], best: Callable[[Column], Column]) -> DataFrame:
+    ranked = [*order, *[c for c in df.columns if c not in keys and c not in order]]
+    picked = df.groupBy(*keys).agg(best(F.struct(*ranked)).alias("_row"))
+    return picked.select(*[F.col(c) if c in keys else F.col(f"_row.`{c}`").alias(c) for c in df.columns])
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The row with the greatest ``order`` per key, one per key. Give a tie-break as the last order column."""
-    return _pick(df, list(keys), list(order), F.max_by)
+    """The row with the greatest ``order`` per key, one per key; the other columns decide between equals."""
+    return _pick(df, list(keys), list(order), F.max)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The row with the least ``order`` per key, one per key."""
-    return _pick(df, list(keys), list(order), F.min_by)
+    """The row with the least ``order`` per key, one per key; the other columns decide between equals."""
+    return _pick(df, list(keys), list(order), F.min)
 
 
 def latest_with_ties(
