@@ -41,12 +41,14 @@ def pin(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder for data that must outlive an executor: ``spark.checkpoint.dir``, as the cluster sets it.
 
-    Only where the setting is missing (tests on one machine) a temporary folder is made and set.
+    Where the setting is missing, a session on one machine (tests) gets a temporary folder; a cluster must name one.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="touchline-")
         spark.sparkContext.setCheckpointDir(folder)
         folder = spark.sparkContext.getCheckpointDir()
