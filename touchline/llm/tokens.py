@@ -5,13 +5,15 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-# Characters whose class (letter, number, space or other) is the same in every Unicode version, so that the patterns
-# below cut as the library does. A text with any other character is encoded whole.
-_KNOWN = re.compile("[\t\n\r\x20-\x7e\xa0-ɏ‐-‧€]*")
+# Characters whose class (letter, number, space or other) is the same in every Unicode version and whose lower case is
+# one character, so that the patterns below cut as the library does. A text with any other character is encoded whole.
+_KNOWN = re.compile("[\t\n\r\x20-\x7e\xa0-įı-ɏ‐-‧€]*")
 _LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ɏ"
 _NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
 _SPACE = "\t\n\r\x20\xa0"
@@ -20,9 +22,10 @@ _BYTE_LEVEL = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_NUMBER}]+"
     f"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
-_CHUNK = re.compile(f"[^{_SPACE}]+")
-#: Words remembered by a worker: twice this many at most (about 80 MB), as the older half goes first.
-REMEMBERED = 200_000
+#: That of the tokenizer with word ends, which comes after lower-casing and drops white space.
+_WORD_ENDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
+#: Words remembered by a worker: twice this many at most (about 200 MB), as the older half goes first.
+REMEMBERED = 500_000
 
 
 class Words(dict):
@@ -45,7 +48,10 @@ class Words(dict):
 
 
 def packed(ids: Iterable[int]) -> bytes:
-    return b"".join(i.to_bytes(4, "little") for i in ids)
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
 
 
 class Encoder:
@@ -61,14 +67,15 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.encode_special_tokens = True
-        self.words, self.cut = Words(self.tokenizer), cut_of(json.loads(spec))
+        self.words = Words(self.tokenizer)
+        self.cut, self.lowers = cut_of(json.loads(spec))
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if self.cut is None or not _KNOWN.fullmatch(text):
             return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        return b"".join(map(self.words.__getitem__, self.cut.findall(text)))
+        return b"".join(map(self.words.__getitem__, self.cut.findall(text.lower() if self.lowers else text)))
 
     def with_end(self, texts: Iterable[str | None], end_id: int) -> Iterator[bytes]:
         end = packed([end_id])
@@ -76,17 +83,18 @@ class Encoder:
             yield self.encode(text) + end
 
 
-def cut_of(spec: dict) -> re.Pattern | None:
-    """The pattern whose matches may be encoded one by one, or None if the file's rules are not known here."""
+def cut_of(spec: dict) -> tuple[re.Pattern | None, bool]:
+    """The pattern whose matches may be encoded one by one, None if the file's rules are not known here; and whether
+    they are found in the lower-cased text."""
     norm, pre = spec.get("normalizer"), spec.get("pre_tokenizer") or {}
     if norm is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space"):
-        return _BYTE_LEVEL
+        return _BYTE_LEVEL, False
     steps = [x.get("type") for x in (norm or {}).get("normalizers", [])]
     cuts = pre.get("pretokenizers", [])
     if steps == ["NFC", "Replace", "Lowercase"] and cuts and cuts[0].get("behavior") == "Removed" and cuts[0].get("invert"):
         if r"[^\s" in json.dumps(cuts[0]["pattern"]).replace("\\\\", "\\"):
-            return _CHUNK
-    return None
+            return _WORD_ENDS, True
+    return None, False
 
 
 _LOADED: dict[int, Encoder] = {}
