@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from touchline.llm import packing, token_files
+from touchline.llm import language, oracles, packing, quality, secret_scan, token_files, toxicity, urls, warc
 from touchline.session import pin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +37,55 @@ def op1_token_files(table) -> DataFrame:
 @query()
 def op2_packing(table) -> DataFrame:
     return packing.pack(table("documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096)
+
+
+@query(oracles.SECRETS)
+def op5_secrets(table) -> DataFrame:
+    spans = secret_scan.scan(table("documents"), owner="source", repository="doc_id")
+    counts = [F.size(F.filter("base", lambda s, k=k.name: s.kind == k)).cast("long").alias(f"n_{k.name}") for k in secret_scan.BASE]
+    return spans.select("doc_id", *counts, F.sha2(F.expr(secret_scan.listed("base")), 256).alias("base_sha256"),
+                        F.expr(secret_scan.listed("spans")).alias("spans"), "n_live", "n_copied")
+
+
+@query(oracles.QUALITY)
+def op8_quality(table) -> DataFrame:
+    docs = table("documents").select("doc_id", "text")
+    judged = quality.judged(docs, quality.estimate(docs))
+    digest = [F.col(f"metrics.{m}").cast("long").alias(m) for m in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    failed = F.expr(" OR ".join(f"({r.fails})" for r in quality.BASE))
+    return judged.select("doc_id", *digest, "failed").withColumn("base_failed", failed).select(
+        "doc_id", *[m for m in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "base_failed",
+        F.col("failed").isNull().alias("kept"))
+
+
+URL_RULES = [urls.UrlRule("net/", "block"), urls.UrlRule("example.net/en/", "allow"), urls.UrlRule("example.com/de/", "block"), urls.UrlRule("org/fr/", "allow")]
+
+
+@query()
+def op9_urls(table) -> DataFrame:
+    pages = table("pages").select("page_id", "url")
+    bad = F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad")
+    labels = table("labels").groupBy(F.col("doc_id").alias("page_id")).agg(bad)
+    mined = urls.mine(pages.join(labels, "page_id").select("url", "bad"))
+    return urls.judge(pages, URL_RULES, mined).drop("confidence")
+
+
+@query(oracles.WARC)
+def op10_warc(table) -> DataFrame:
+    return warc.read_archives(warc.write_archives(table("pages")))
+
+
+@query()
+def op3_language(table) -> DataFrame:
+    docs = table("documents").select("doc_id", "text", "lang").withColumn("held_out", language.held_out(F.col("doc_id")))
+    model = language.train(docs.filter(~F.col("held_out")), language.vocabulary(public_tokenizers.path("piece_bpe_32k.model")))
+    return language.predict(docs, model, ["doc_id", "held_out"])
+
+
+@query()
+def op7_toxicity(table) -> DataFrame:
+    docs, labels = table("documents").select("doc_id", "text"), table("labels").select("doc_id", "toxic")
+    model = toxicity.train(docs, labels.filter(~language.held_out(F.col("doc_id"))))
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "score",
+                        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), F.size("segments").cast("long").alias("n_segments"))
