@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import language, oracles, packing, quality, secret_scan, token_files, toxicity, urls, warc
+from touchline.llm import language, ngram_join, oracles, packing, quality, secret_scan, token_files, toxicity, urls, warc
 from touchline.session import pin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,8 @@ def op7_toxicity(table) -> DataFrame:
     found = toxicity.score(docs, model)
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "score",
                         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), F.size("segments").cast("long").alias("n_segments"))
+
+
+@query()
+def op6_ngram_join(table) -> DataFrame:
+    return ngram_join.similar_groups(table("documents"), n=4, percent=85)
