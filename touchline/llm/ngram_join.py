@@ -52,15 +52,16 @@ def needed(n: Column, percent: int) -> Column:
     return F.least(F.lit(SHARED), share_of(n, percent))
 
 
-def texts_of(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[int | None, np.ndarray]]:
+def texts_of(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[tuple, np.ndarray]]:
+    """The other columns of each row, and the n-grams of its text, which comes first."""
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
-            part = batch.slice(at, 500)
-            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                yield doc_id, shingle_set(text, n)
+            texts, *others = (c.to_pylist() for c in batch.slice(at, 500).columns)
+            for i, text in enumerate(texts):
+                yield tuple(c[i] for c in others), shingle_set(text, n)
 
 
-def once(sets: Iterator[tuple[int | None, np.ndarray]], most: int = 1_000_000) -> Iterator[tuple[int, np.ndarray]]:
+def once(sets: Iterator[tuple[tuple, np.ndarray]], most: int = 1_000_000) -> Iterator[tuple[int, np.ndarray]]:
     """Sets with their fingerprints, without empty ones and most repetitions."""
     seen: set[int] = set()
     for _, found in sets:
@@ -74,8 +75,8 @@ def once(sets: Iterator[tuple[int | None, np.ndarray]], most: int = 1_000_000) -
 
 
 def read_sets(docs: DataFrame, n: int) -> DataFrame:
-    """First pass, staged: a row (doc_id, fp, n_shingles) per document, and rows (slice, counts) of each task's n-grams."""
-    kinds = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("n_shingles", pa.int64()), ("slice", pa.int32()), ("counts", pa.binary())])
+    """First pass, staged: a row (doc_id, key, fp, n_shingles) per document, and rows (slice, counts) of each task's n-grams."""
+    kinds = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("fp", pa.int64()), ("n_shingles", pa.int64()), ("slice", pa.int32()), ("counts", pa.binary())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, waiting, held, out = np.zeros(1 << BITS, np.int64), [], 0, []
@@ -86,8 +87,8 @@ def read_sets(docs: DataFrame, n: int) -> DataFrame:
                 counts[:] += np.bincount(places.astype(np.int64), minlength=len(counts))
                 waiting.clear()
 
-        for doc_id, found in texts_of(batches, n):
-            out.append({"doc_id": doc_id, "fp": fingerprint(found) if len(found) else None, "n_shingles": len(found)})
+        for (doc_id, key), found in texts_of(batches, n):
+            out.append({"doc_id": doc_id, "key": key, "fp": fingerprint(found) if len(found) else None, "n_shingles": len(found)})
             waiting.append(found)
             held += len(found)
             if held >= 2_000_000:
@@ -103,7 +104,7 @@ def read_sets(docs: DataFrame, n: int) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_pylist(out, schema=kinds)
 
-    return stage(docs.mapInArrow(rows, "doc_id long, fp long, n_shingles long, slice int, counts binary"))
+    return stage(docs.mapInArrow(rows, "doc_id long, key long, fp long, n_shingles long, slice int, counts binary"))
 
 
 def global_counts(read: DataFrame) -> np.ndarray:
@@ -248,19 +249,16 @@ def linked(pairs: DataFrame, sets: DataFrame, fragments: int, percent: int) -> D
     return stage(total.filter(100 * F.col("common") >= percent * (F.col("a_n") + F.col("b_n") - F.col("common"))).select("a", "b"))
 
 
-def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, fragments: int = 4) -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id long, text string; others are not read).
+def groups(docs: DataFrame, n: int, percent: int, fragments: int = 4) -> DataFrame:
+    """(doc_id, key, n_shingles, component_id, root) per row of ``docs``; see :func:`similar_groups`.
 
-    Two documents are linked if 100 * common >= percent * union of their sets of distinct n-grams of words (split at
-    ASCII white space, A-Z in lower case; a text of fewer words is one n-gram). component_id is the smallest doc_id
-    reachable by links. NULL and empty texts have no n-gram, are linked with nothing and keep their own doc_id. Rows
-    with equal doc_id are documents of their own; NULL ids are no smallest id, so a component of them alone has NULL.
-    An empty table gives no rows. N-grams and sets are known by 64-bit hashes.
+    ``key`` is the hash of id and text, and ``root`` names the component, NULL for a text without n-grams.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    read = read_sets(rows, n)
-    documents = read.filter("slice IS NULL").select("doc_id", "fp", "n_shingles")
+    rows = docs.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
+    read = read_sets(rows.withColumn("key", key_of()), n)
+    rows = rows.select("text")
+    documents = read.filter("slice IS NULL").select("doc_id", "key", "fp", "n_shingles")
     table = global_counts(read)
     counts = spark.sparkContext.broadcast(table)
     lists = stage(met(first_grams(rows, n, percent, counts)))
@@ -293,6 +291,35 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, fragments: in
     classes = full.groupBy("fp").agg(F.min("doc_id").alias("least")).join(nodes, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     classes = stage(classes)
     named = stage(classes.groupBy("root").agg(F.min("least").alias("component_id")))
-    by_set = stage(classes.join(named, "root").select("fp", "component_id"))
-    return full.join(by_set, "fp").select("doc_id", "n_shingles", "component_id").union(
-        documents.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    by_set = stage(classes.join(named, "root").select("fp", "component_id", "root"))
+    columns = ["doc_id", "key", "n_shingles", "component_id", "root"]
+    return full.join(by_set, "fp").select(*columns).union(
+        documents.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id")).withColumn("root", F.lit(None).cast("long")).select(*columns))
+
+
+def key_of() -> Column:
+    """A hash of a row's id and text, by which results are given back to rows whose id is NULL or not theirs alone."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
+def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, fragments: int = 4) -> DataFrame:
+    """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id long, text string; others are not read).
+
+    Two documents are linked if 100 * common >= percent * union of their sets of distinct n-grams of words (split at
+    ASCII white space, A-Z in lower case; a text of fewer words is one n-gram). component_id is the smallest doc_id
+    reachable by links. NULL and empty texts have no n-gram, are linked with nothing and keep their own doc_id. Rows
+    with equal doc_id are documents of their own; NULL ids are no smallest id, so a component of them alone has NULL.
+    An empty table gives no rows. N-grams and sets are known by 64-bit hashes.
+    """
+    return groups(docs, n, percent, fragments).select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that stay if each group keeps the one of smallest doc_id, an id before none.
+
+    Texts without n-grams stay. Rows equal in id and text are one row in the result. All columns are kept.
+    """
+    found = stage(groups(docs, n, percent))
+    first = found.filter("root IS NOT NULL").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"))
+    kept = stage(first.select("first.key").union(found.filter("root IS NULL").select("key")).distinct().withColumnRenamed("key", "key of the row"))
+    return docs.withColumn("key of the row", key_of()).join(kept, "key of the row", "left_semi").dropDuplicates(["key of the row"]).drop("key of the row")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import language, ngram_join, oracles, packing, quality, secret_scan, token_files, toxicity, urls, warc
+from touchline.llm import decontamination, language, ngram_join, oracles, packing, quality, secret_scan, token_files, toxicity, urls, warc
 from touchline.session import pin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,8 @@ def op7_toxicity(table) -> DataFrame:
 @query()
 def op6_ngram_join(table) -> DataFrame:
     return ngram_join.similar_groups(table("documents"), n=4, percent=85)
+
+
+@query(oracles.DECONTAMINATION)
+def op4_decontamination(table) -> DataFrame:
+    return decontamination.contaminated(table("documents"), table("benchmark")).drop("distance", "id_text")

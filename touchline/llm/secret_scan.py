@@ -65,16 +65,16 @@ def listed(spans: str) -> str:
     return f"array_join(transform({spans}, s -> concat(s.kind, ':', s.start, ':', s.end)), ',')"
 
 
-def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", max_owners: int = 2, keep_text: bool = False) -> DataFrame:
+def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", max_owners: int = 2, keep: tuple[str, ...] = ()) -> DataFrame:
     """Spans of secrets per row of ``docs`` (doc_id, text and the two named columns; others are not read).
 
     Columns: doc_id, ``base`` and ``spans`` (arrays of start, place, kind, end, value, by start and then kind; ``spans``
     adds the loose ones that at most ``max_owners`` owners have and that lie in no base span), n_live and n_copied
-    (candidates of the row by that test), and with ``keep_text`` the text. NULL text is empty; a NULL owner or
+    (candidates of the row by that test), and with ``keep`` a struct ``kept`` of these columns. NULL text is empty; a NULL owner or
     repository counts as one owner or repository of its own; repeated rows are rows of their own but add no owner. An
     empty table gives no rows.
 
-    The text is read once: what is found is staged without it. Owners and repositories are counted by Spark's
+    The text is read once: what is found is staged without it, unless it is to be kept. Owners and repositories are counted by Spark's
     distinct count, which combines (hash, owner) and (hash, repository) before their values meet, so a value that
     stands in a third of all rows is no large group. Verdicts come back by a join of two plain tables on the hash,
     whose large partitions adaptive execution splits.
@@ -83,7 +83,7 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", max
     every = F.expr(let("body", "coalesce(CAST(text AS STRING), '')", "concat(" + ", ".join(matches(k, i) for i, k in enumerate(KINDS)) + ")"))
     found = stage(docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), named(owner).alias("owner"),
-        named(repository).alias("repository"), F.array_sort(every).alias("found"), *([F.col("text")] if keep_text else [])))
+        named(repository).alias("repository"), F.array_sort(every).alias("found"), *([F.struct(*keep).alias("kept")] if keep else [])))
     base = F.expr(f"filter(found, s -> s.place < {len(BASE)})")
     inside = "exists(base, b -> b.start <= s.start AND s.end <= b.end)"
     found = found.withColumn("base", base).withColumn(
@@ -96,10 +96,10 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", max
         F.count_if(live).alias("n_live"), F.count_if(~live).alias("n_copied"))
     return found.drop("found").join(judged, "row", "left").select(
         "doc_id", "base", F.array_sort(F.concat("base", F.coalesce("added", F.expr("filter(base, s -> false)")))).alias("spans"),
-        F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_copied", F.lit(0)).alias("n_copied"), *(["text"] if keep_text else []))
+        F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_copied", F.lit(0)).alias("n_copied"), *(["kept"] if keep else []))
 
 
-def redacted(text: str = "text", spans: str = "spans", mark: str = "[SECRET]") -> str:
+def redacted(text: str = "kept.text", spans: str = "spans", mark: str = "[SECRET]") -> str:
     """SQL of the text with each span, or run of overlapping spans, replaced by ``mark``."""
     # ``at`` is where the text goes on after the spans so far; a span that starts before it only moves it.
     step = f"""named_struct('done', concat(a.done, if(s.start >= a.at, concat(substring({text}, a.at + 1, s.start - a.at), '{mark}'), '')),
