@@ -42,7 +42,7 @@ def op2_packing(table) -> DataFrame:
 @query(oracles.SECRETS)
 def op5_secrets(table) -> DataFrame:
     spans = secret_scan.scan(table("documents"), owner="source", repository="doc_id")
-    counts = [F.size(F.filter("base", lambda s, k=k.name: s.kind == k)).cast("long").alias(f"n_{k.name}") for k in secret_scan.BASE]
+    counts = [F.expr(f"CAST(size(filter(base, s -> s.kind = '{k.name}')) AS BIGINT)").alias(f"n_{k.name}") for k in secret_scan.BASE]
     return spans.select("doc_id", *counts, F.sha2(F.expr(secret_scan.listed("base")), 256).alias("base_sha256"),
                         F.expr(secret_scan.listed("spans")).alias("spans"), "n_live", "n_copied")
 
