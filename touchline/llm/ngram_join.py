@@ -8,11 +8,13 @@ the order too: two similar documents have their first ``SHARED`` common n-grams
    are one document from here on.
 2. A second pass lists the first n-grams of each set. Lists meet by n-gram; there every set is paired with one leader,
    the one in which the n-gram stands first, so pairs grow with the rows and not with a group's square.
-3. A third pass writes the fragments of the sets that have enough n-grams in common with any others. The pairs are
-   counted, and the links give components.
-4. Sets that meet but are in different components by then are paired too, as the leader may be similar to neither.
+3. A third pass writes the fragments of the sets that are paired. The pairs are counted, and the links give components.
+4. Sets that meet but are in different components by then are paired too, as the leader may be similar to neither;
+   their fragments are written by a pass of their own.
 
-Links inside a component are not looked for, as they change nothing.
+Links inside a component are not looked for, as they change nothing. A set also has a mark: one bit per group of
+n-grams, telling whether it has an odd number of them. Two marks differ in no more bits than the sets in n-grams, so
+pairs whose marks differ too much are left out, and nothing similar is.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ BITS = 22
 SLICES = 64
 #: Bits of the table that tells which sets are wanted: 2 ** WANTED_BITS, whatever their number.
 WANTED_BITS = 26
+MARK_BITS = 256
 LIST = "token long, place int, fp long, n int"
 
 
@@ -75,8 +78,9 @@ def once(sets: Iterator[tuple[tuple, np.ndarray]], most: int = 1_000_000) -> Ite
 
 
 def read_sets(docs: DataFrame, n: int) -> DataFrame:
-    """First pass, staged: a row (doc_id, key, fp, n_shingles) per document, and rows (slice, counts) of each task's n-grams."""
-    kinds = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("fp", pa.int64()), ("n_shingles", pa.int64()), ("slice", pa.int32()), ("counts", pa.binary())])
+    """First pass, staged: a row (doc_id, key, fp, n_shingles, mark) per document, and rows (slice, counts) of each task's n-grams."""
+    kinds = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("fp", pa.int64()), ("n_shingles", pa.int64()), ("mark", pa.list_(pa.int64())),
+                       ("slice", pa.int32()), ("counts", pa.binary())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, waiting, held, out = np.zeros(1 << BITS, np.int64), [], 0, []
@@ -88,7 +92,7 @@ def read_sets(docs: DataFrame, n: int) -> DataFrame:
                 waiting.clear()
 
         for (doc_id, key), found in texts_of(batches, n):
-            out.append({"doc_id": doc_id, "key": key, "fp": fingerprint(found) if len(found) else None, "n_shingles": len(found)})
+            out.append({"doc_id": doc_id, "key": key, "fp": fingerprint(found) if len(found) else None, "n_shingles": len(found), "mark": mark_of(found)})
             waiting.append(found)
             held += len(found)
             if held >= 2_000_000:
@@ -104,7 +108,21 @@ def read_sets(docs: DataFrame, n: int) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_pylist(out, schema=kinds)
 
-    return stage(docs.mapInArrow(rows, "doc_id long, key long, fp long, n_shingles long, slice int, counts binary"))
+    return stage(docs.mapInArrow(rows, "doc_id long, key long, fp long, n_shingles long, mark array<long>, slice int, counts binary"))
+
+
+def mark_of(found: np.ndarray) -> list[int]:
+    """Whether the number of n-grams of each of MARK_BITS groups is odd, as signed 64-bit numbers."""
+    odd = np.bincount((found & np.uint64(MARK_BITS - 1)).astype(np.int64), minlength=MARK_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
+def alike(percent: int) -> Column:
+    """Whether sizes and marks of ``a`` and ``b`` allow similarity. So many n-grams may differ at most: the sizes' sum
+    times (100 - percent) / (100 + percent)."""
+    differ = F.expr(" + ".join(f"bit_count(a_mark[{i}] ^ b_mark[{i}])" for i in range(MARK_BITS // 64)))
+    sizes = 100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")
+    return sizes & ((100 + percent) * differ <= (100 - percent) * (F.col("a_n") + F.col("b_n")))
 
 
 def global_counts(read: DataFrame) -> np.ndarray:
@@ -259,34 +277,43 @@ def groups(docs: DataFrame, n: int, percent: int, fragments: int = 4) -> DataFra
     read = read_sets(rows.withColumn("key", key_of()), n)
     rows = rows.select("text")
     documents = read.filter("slice IS NULL").select("doc_id", "key", "fp", "n_shingles")
+    marks = stage(read.filter("fp IS NOT NULL").groupBy("fp").agg(F.any_value("mark").alias("mark")))
     table = global_counts(read)
-    counts = spark.sparkContext.broadcast(table)
+    counts, cuts = spark.sparkContext.broadcast(table), pivots(table, fragments)
     lists = stage(met(first_grams(rows, n, percent, counts)))
-    smallest = share_of(share_of(F.max("n"), percent), percent)
-    wanted = stage(lists.groupBy("fp").agg(F.count("*").alias("met"), F.least(F.lit(SHARED), smallest).alias("least")).filter("met >= least").select("fp"))
-    lists = stage(lists.join(wanted, "fp", "left_semi"))
-    bits = spark.sparkContext.broadcast(wanted_bits(wanted))
-    cut = cut_sets(rows, n, counts, pivots(table, fragments), bits).join(wanted, "fp", "left_semi")
-    sets = stage(cut.groupBy("fp", "fragment").agg(F.any_value("grams").alias("grams")))
-
-    close = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
-    shared = lambda p: p.groupBy("a", "b", "a_n", "b_n").agg(F.count("*").alias("met"))
-    led = lists.filter("fp <> leader").filter(close(F.col("n"), F.col("leader_n"))).select(
-        F.col("fp").alias("a"), F.col("leader").alias("b"), F.col("n").alias("a_n"), F.col("leader_n").alias("b_n"))
-    few = F.least(F.lit(2), needed(F.col("a_n"), percent), needed(F.col("b_n"), percent))
-    links = linked(shared(led).filter(F.col("met") >= few).drop("met"), sets, fragments, percent)
 
+    def checked(pairs: DataFrame) -> DataFrame:
+        """The similar ones of ``pairs``, whose fragments a pass over the texts gives."""
+        wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct())
+        bits = spark.sparkContext.broadcast(wanted_bits(wanted))
+        cut = cut_sets(rows, n, counts, cuts, bits).join(wanted, "fp", "left_semi")
+        sets = stage(cut.groupBy("fp", "fragment").agg(F.any_value("grams").alias("grams")))
+        return linked(pairs, sets, fragments, percent)
+
+    mark = lambda side: marks.select(F.col("fp").alias(side), F.col("mark").alias(f"{side}_mark"))
+    enough = F.least(needed(F.col("a_n"), percent), needed(F.col("b_n"), percent))
+    led = lists.filter("fp <> leader").select(F.col("fp").alias("a"), F.col("leader").alias("b"), F.col("n").alias("a_n"), F.col("leader_n").alias("b_n"))
+    led = led.groupBy("a", "b", "a_n", "b_n").agg(F.count("*").alias("met")).filter(F.col("met") >= F.least(F.lit(2), enough))
+    led = stage(led.join(mark("a"), "a").join(mark("b"), "b").filter(alike(percent)).select("a", "b", "a_n", "b_n"))
+    links = checked(led)
+
+    # Of the first common n-grams the k-th has at most n - common + k - 1 others before it in a set of n.
     roots = components(links).select(F.col("node").alias("fp"), "root")
-    grouped = stage(lists.join(roots, "fp", "left").select("token", "fp", "n", F.coalesce("root", "fp").alias("root")))
+    grouped = stage(lists.join(roots, "fp", "left").select("token", "place", "fp", "n", F.coalesce("root", "fp").alias("root")))
     mixed = stage(grouped.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("token"))
-    rest = stage(grouped.join(mixed, "token", "left_semi"))
-    a = rest.select("token", F.col("fp").alias("a"), F.col("n").alias("a_n"), F.col("root").alias("a_root"))
-    b = rest.select("token", F.col("fp").alias("b"), F.col("n").alias("b_n"), F.col("root").alias("b_root"))
-    crossing = a.join(b, "token").filter((F.col("a_root") < F.col("b_root")) & close(F.col("a_n"), F.col("b_n")))
-    enough = F.col("met") >= F.least(needed(F.col("a_n"), percent), needed(F.col("b_n"), percent))
-    further = linked(shared(crossing).filter(enough).drop("met"), sets, fragments, percent)
-
-    nodes = components(links.union(further)).select(F.col("node").alias("fp"), "root")
+    rest = grouped.join(mixed, "token", "left_semi")
+    least = share_of(share_of(F.max("n"), percent), percent)
+    often = stage(rest.groupBy("fp").agg(F.count("*").alias("met"), F.least(F.lit(SHARED), least).alias("least")).filter("met >= least").select("fp"))
+    rest = stage(rest.join(often, "fp", "left_semi").join(marks, "fp"))
+    side = lambda x: rest.select("token", *[F.col(c).alias(f"{x}_{c}") for c in ("n", "place", "root", "mark")], F.col("fp").alias(x))
+    common = F.ceil(percent * (F.col("a_n") + F.col("b_n")) / (100 + percent))
+    first = (F.col("a_place") < F.col("a_n") - common + enough) & (F.col("b_place") < F.col("b_n") - common + enough)
+    crossing = side("a").join(side("b"), "token").filter((F.col("a_root") < F.col("b_root")) & first & alike(percent))
+    further = crossing.groupBy("a", "b", "a_n", "b_n").agg(F.count("*").alias("met")).filter(F.col("met") >= enough).drop("met")
+    further = stage(further)
+    links = links if further.isEmpty() else links.union(checked(further))
+
+    nodes = components(links).select(F.col("node").alias("fp"), "root")
     full = documents.filter("n_shingles > 0")
     classes = full.groupBy("fp").agg(F.min("doc_id").alias("least")).join(nodes, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     classes = stage(classes)
