@@ -57,9 +57,10 @@ def fingerprinted(table: DataFrame) -> DataFrame:
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
-    """Items with words, each wording once under its smallest item_id, staged."""
+    """Items with words, each wording once (``item``) under its smallest item_id, staged."""
     words = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.expr(WORDS).alias("words")).filter("size(words) > 0")
-    return stage(words.groupBy("words").agg(F.min("item_id").alias("item_id")).withColumn("size", F.size("words")))
+    return stage(words.groupBy("words").agg(F.min("item_id").alias("item_id")).withColumn(
+        "size", F.size("words")).withColumn("item", F.md5(F.array_join("words", " "))))
 
 
 def windows_of(docs: DataFrame, items: DataFrame, index_rows: int = INDEX_ROWS) -> DataFrame:
@@ -94,16 +95,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = 80, index
     windows = windows_of(docs, items, index_rows).withColumn("key", F.md5("window"))
     distinct = stage(fingerprinted(windows.groupBy("size", "key").agg(F.any_value("window").alias("window")).withColumn("words", F.split("window", " "))).drop("words", "window"))
     listed = stage(fingerprinted(items).drop("words"))
-    asked, known = blocks(distinct.select("size", "key", "simhash"), WINDOW_BITS), blocks(listed.select("size", "item_id", "simhash"), ITEM_BITS)
+    asked, known = blocks(distinct.select("size", "key", "simhash"), WINDOW_BITS), blocks(listed.select("size", "item", "simhash"), ITEM_BITS)
     near = asked.join(known.withColumnRenamed("simhash", "item_simhash"), ["size", "block", "value"]).withColumn(
-        "distance", F.expr("bit_count(simhash ^ item_simhash)")).filter(F.col("distance") <= RADIUS).select("size", "key", "item_id", "distance").distinct()
-    both = near.join(distinct.select("size", "key", "shingles"), ["size", "key"]).join(listed.select("item_id", F.col("shingles").alias("wanted")), "item_id")
+        "distance", F.expr("bit_count(simhash ^ item_simhash)")).filter(F.col("distance") <= RADIUS).select("size", "key", "item", "distance").distinct()
+    both = near.join(distinct.select("size", "key", "shingles"), ["size", "key"]).join(listed.select("item", "item_id", F.col("shingles").alias("wanted")), "item")
     common = F.expr("aggregate(transform(array_intersect(shingles, wanted), k -> least(size(filter(shingles, x -> x = k)), size(filter(wanted, x -> x = k)))), 0, (a, n) -> a + n)")
     checked = both.withColumn("common", common).withColumn("total", F.size("shingles") + F.size("wanted") - F.col("common"))
     alike = stage(checked.filter(100 * F.col("common") >= percent * F.col("total")).select(
-        "size", "key", "item_id", (F.col("common") / F.col("total")).alias("similarity"), "distance"))
+        "size", "key", "item", "item_id", (F.col("common") / F.col("total")).alias("similarity"), "distance"))
     held = windows.select("row", "doc_id", "id_text", "start", "size", "key").join(alike, ["size", "key"])
-    best = held.groupBy("row", "doc_id", "id_text", "item_id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"), "size", "distance")).alias("best"))
+    best = held.groupBy("row", "doc_id", "id_text", "item", "item_id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"), "size", "distance")).alias("best"))
     return best.select("doc_id", "item_id", "best.similarity", (-F.col("best.back")).cast("long").alias("start"), F.col("best.size").cast("long").alias("n_words"),
                        F.col("best.distance").cast("long").alias("distance"), "id_text")
 
