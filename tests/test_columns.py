@@ -68,6 +68,8 @@ def test_keys(frame):
     df = frame("n long", (12,), (None,)).select(C.prefixed_key(F.col("n"), "ACC_").alias("k"))
     got = df.select("k", C.stripped_key(F.col("k"), "ACC_").alias("n"))
     assert rows_of(got) == [("ACC_12", "12"), (None, None)]
+    long = frame("k string", ("ACC_" + "9" * 30,)).select(C.stripped_key(F.col("k"), "ACC_").alias("n"))
+    assert rows_of(long) == [("9" * 30,)]
 
 
 def test_contains_any_is_literal(frame):

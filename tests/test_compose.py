@@ -15,7 +15,7 @@ def offer(number, id, date="2024-01-2", use="up", kind="single", channel="email"
     return (number, kind, channel, use, date, id, "r", day)
 
 
-def composed(frame, sends, cancels=(), offered=(), links=(), campaigns=(), programs=(("5", "autumn_CDP_x"),), ids=None):
+def composed(frame, sends, cancels=(), offered=(), links=(), campaigns=(), programs=(("5", "autumn_TAG_x"),), ids=None):
     return compose.compose_day(
         frame(SEND, *sends), frame(SEND, *cancels),
         frame("user_id long, account_id string", *(ids or [(1, "ACC_11"), (1, "ACC_11"), (2, None)])),
@@ -33,9 +33,9 @@ def test_row_per_status_and_lookup(frame):
     assert got.columns == [f.split(" ")[0] for f in schemas.HISTORY.split(", ")]
     assert rows_of(got, "account_id", "sub_acct_no_sbb", "contact_id", "sent_dt", "cancel_dt", "cancel_reason",
                    "campaign_name", "program_id", "month", "day", "channel") == sorted([
-        ("ACC_11", "11", 1, T0, None, None, "autumn_CDP_x", 5, "202401", "20240105", "email"),
-        ("ACC_11", "11", 1, None, T0, "why", "autumn_CDP_x", 5, "202401", "20240105", "email"),
-        (None, None, 2, T0, None, None, "autumn_CDP_x", 5, "202401", "20240105", "email")], key=repr)
+        ("ACC_11", "11", 1, T0, None, None, "autumn_TAG_x", 5, "202401", "20240105", "email"),
+        ("ACC_11", "11", 1, None, T0, "why", "autumn_TAG_x", 5, "202401", "20240105", "email"),
+        (None, None, 2, T0, None, None, "autumn_TAG_x", 5, "202401", "20240105", "email")], key=repr)
 
 
 def test_newest_offers_by_date_not_by_text(frame):
@@ -89,8 +89,8 @@ def test_audience_once_per_account_and_campaign(frame):
 
 
 def test_feed_of_allowed_programs(frame):
-    programs = feeds.tagged_programs(frame("id string, name string", ("5", "a_CDP_b"), ("6", "aCDPb")), "_CDP")
-    assert rows_of(programs) == [(5, "a_CDP_b")]
+    programs = feeds.tagged_programs(frame("id string, name string", ("5", "a_TAG_b"), ("6", "aTAGb")), "_TAG")
+    assert rows_of(programs) == [(5, "a_TAG_b")]
     campaigns = frame("id long, program_id long, event_time timestamp", (7, 5, T0), (7, 6, T0), (8, 6, T0))
     ids = feeds.program_campaigns(campaigns, programs)
     events = frame("contact_id long, campaign_id string, event_time timestamp",

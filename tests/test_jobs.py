@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows_of
 from touchline import schemas
 from touchline.functions.columns import conform
+from touchline.operators.mirror import mirror
 from touchline.plans import jobs, mirrors
 from touchline.streaming import arrivals
 
@@ -52,8 +53,7 @@ def test_window_mirror(spark, frame, tmp_path):
     source, root = f"{tmp_path}/in/h", f"{tmp_path}/out/h"
     days = [f"{DAY - dt.timedelta(n):%Y%m%d}" for n in range(16)]
     conform(frame("account_id string, conversion_dt string, day string", *[("a", "2024-01-01 00:00:00", d) for d in days]),
-            schemas.HISTORY.replace("conversion_dt timestamp", "conversion_dt string")
-            ).write.partitionBy("month", "day", "channel").parquet(source)
+            schemas.HISTORY).write.partitionBy("month", "day", "channel").parquet(source)
     for run in (DAY - dt.timedelta(1), DAY, DAY):
         jobs.mirror_window(spark, source, root, mirrors.HISTORY_WINDOW, run, "ACC_")
     got = spark.read.parquet(root)
@@ -81,10 +81,10 @@ def test_feeds_to_history_to_status(spark, frame, tmp_path):
         "clicks": frame(event, *[(1, "7", T0 + dt.timedelta(hours=2), T0, None)] * 2),
         "bounces": frame(event, (2, "7", T0 + dt.timedelta(hours=1), T0, "hard")),
     }
-    programs = frame("id string, name string", ("5", "x_CDP"), ("6", "y"))
+    programs = frame("id string, name string", ("5", "x_TAG"), ("6", "y"))
     read = lambda k: spark.read.schema(schemas.FEEDS[k] + ", month string, day string").parquet(roots[k])
     for _ in range(2):
-        jobs.load_feeds(sources, roots, programs, DAY, "_CDP")
+        jobs.load_feeds(sources, roots, programs, DAY, "_TAG")
     assert read("sends").count() == 2 and read("clicks").count() == 2
     jobs.compose_and_store(
         history, DAY, sends=read("sends"), cancels=read("cancels"),
@@ -100,13 +100,32 @@ def test_feeds_to_history_to_status(spark, frame, tmp_path):
         (1, T0, None, T0 + dt.timedelta(hours=1), 2, None), (2, T0, None, None, None, "hard"),
         (2, None, "r", None, None, "hard")], key=repr)
 
-    conversions = frame(schemas.CONVERSIONS, ("ACC_1", "CDP", "o", "1704672000000", "web"))
-    whole = conform(got, schemas.HISTORY.replace("conversion_dt timestamp", "conversion_dt string"))
-    attributed = f"{tmp_path}/attributed"
-    whole.write.partitionBy(*schemas.HISTORY_KEYS).parquet(attributed)
-    jobs.attribute(spark, attributed, conversions)
-    assert rows_of(spark.read.parquet(attributed), "contact_id", "conv_flg", "order_id") == [
-        (1, True, "o"), (2, None, None), (2, None, None)]
+    conversions = frame(schemas.CONVERSIONS, ("ACC_1", "TAG", "o", "1704672000000", "web"))
+    got = lambda: spark.read.schema(schemas.HISTORY).parquet(history)
+    for _ in range(2):
+        jobs.attribute(spark, history, conversions)
+        assert rows_of(got(), "contact_id", "conv_flg", "order_id") == [(1, True, "o"), (2, None, None), (2, None, None)]
+    more = frame(schemas.CONVERSIONS, ("ACC_1", "TAG", "p", "1704672000000", "web"), ("ACC_1", "other", "q", "1704672000000", "web"))
+    for _ in range(2):
+        jobs.refresh_status(spark, history, DAY, read("opens"), read("clicks"), read("bounces"), days=14)
+        jobs.attribute(spark, history, more)
+        assert rows_of(got(), "contact_id", "conv_flg", "order_id") == [(1, True, "o"), (2, None, None), (2, None, None)]
+
+
+def test_conversions_come_from_a_file_or_the_archive(spark, frame, tmp_path):
+    history = f"{tmp_path}/history"
+    conform(frame("account_id string, campaign_name string, channel string, contact_dt timestamp, month string, day string",
+                  ("A", "x u y", "email", T0, "202401", "20240105"), ("A", "v", "email", T0, "202401", "20240105")), schemas.HISTORY
+            ).write.partitionBy(*schemas.HISTORY_KEYS).parquet(history)
+    archive = frame(schemas.CONVERSIONS + ", day string", ("A", "u", "o", "1704672000000", "web", "20240106"), ("A", "v", "p", "1704672000000", "web", "20240107"))
+    got = lambda: rows_of(spark.read.schema(schemas.HISTORY).parquet(history), "campaign_name", "conv_flg", "order_id")
+    archive.write.partitionBy("day").parquet(f"{tmp_path}/archive")
+    for _ in range(2):
+        jobs.attribute(spark, history, archive=f"{tmp_path}/archive", keys={"day": "20240106"})
+        assert got() == [("v", False, "o"), ("x u y", True, "o")]
+    (tmp_path / "c.csv").write_text("account_id,conv_use_case_cat,order_id,conv_dte,conv_type\nA,v,f,1704672000000,web\n")
+    jobs.attribute(spark, history, arrived=f"{tmp_path}/c.csv")
+    assert got() == [("v", True, "f"), ("x u y", True, "o")]
 
 
 def test_calls(spark, frame, tmp_path):
@@ -224,7 +243,7 @@ def test_arrivals_once_each(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
     run = lambda: arrivals.ingest_arrivals(
-        arrivals.arriving_csv(spark, str(folder), "a string, b string"), f"{tmp_path}/out", ["month", "day"], f"{tmp_path}/ck")
+        arrivals.arriving_csv(spark, str(folder), "a string, b string"), f"{tmp_path}/out", ["month", "day"], f"{tmp_path}/ck", "first")
     (folder / "x_20240105.csv").write_text("a,b\n1,x\n2,y\n")
     run()
     (folder / "x_20240106.csv").write_text("a,b\n3,z\n")
@@ -234,3 +253,30 @@ def test_arrivals_once_each(spark, tmp_path):
     assert rows_of(got, "a", "month", "day") == [
         ("1", "202401", "20240105"), ("2", "202401", "20240105"), ("3", "202401", "20240106")]
     assert glob.glob(f"{tmp_path}/out/month=202401/day=20240106/batch=*")
+    other = tmp_path / "other"
+    other.mkdir()
+    (other / "y_20240105.csv").write_text("a,b\n9,w\n")
+    for _ in range(2):
+        arrivals.ingest_arrivals(arrivals.arriving_csv(spark, str(other), "a string, b string"), f"{tmp_path}/out", ["month", "day"], f"{tmp_path}/ck2", "second")
+    assert sorted(r[0] for r in spark.read.parquet(f"{tmp_path}/out").select("a").collect()) == ["1", "2", "3", "9"]
+
+
+def test_day_first_dates_of_arrived_offers(spark, frame, tmp_path):
+    source, root = f"{tmp_path}/in/o", f"{tmp_path}/out/o"
+    rows = [("a", "05/08/2023", "13/08/2023"), ("b", "5-8-2023", "2023-08-05"), ("c", "2023-08-05", "x")]
+    day = conform(frame("sub_acct_no string, date string, next_best_action_date string", *rows), schemas.OFFERS_IN + ", day string")
+    day.drop("next_best_action_date").join(frame("sub_acct_no string, date string, next_best_action_date string", *rows).drop("date"), "sub_acct_no").withColumn(
+        "id_oferta_int", F.lit(1).cast("long")).withColumn("day", F.lit("20230805")).write.partitionBy("day").parquet(source)
+    got = mirror(spark.read.parquet(source), mirrors.OFFERS_ARRIVED, "ACC_")
+    assert rows_of(got, "sub_acct_no", "dt_ms", "next_best_action_date_ms") == sorted([
+        ("a", 1691193600000, 1691884800000), ("b", 1691193600000, 1691193600000), ("c", 1691193600000, None)], key=repr)
+
+
+def test_offers_loaded_again_keep_their_ids(spark, tmp_path):
+    header = ",".join(c.split(" ")[0] for c in schemas.OFFERS_IN.split(", "))
+    (tmp_path / "o.csv").write_text("\n".join([header, *(f"{i}{',' * header.count(',')}" for i in (3, 1, 2))]) + "\n")
+    ids = []
+    for run in (RUN, RUN, RUN + dt.timedelta(days=1), RUN):
+        jobs.load_offers(spark, f"{tmp_path}/o.csv", f"{tmp_path}/offers", run)
+        ids.append(sorted(r[0] for r in spark.read.parquet(f"{tmp_path}/offers").select("id_oferta_int").collect()))
+    assert ids[0] == ids[1] == [1, 2, 3] and ids[2] == [1, 2, 3, 4, 5, 6] and len(set(ids[3])) == 6

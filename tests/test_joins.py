@@ -68,6 +68,26 @@ def test_hot_keys_are_few_and_bounded(frame):
     assert hot_keys(df.where("k > 100"), ["k"]) == {}
 
 
+def test_a_key_that_fills_three_partitions_is_split(spark):
+    """With the settings of production: no share, no row bound and no monkeypatch."""
+    fixed = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in fixed}
+    for k, v in fixed.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(0, 6_000_000, 1, 4).selectExpr("if(id < 1200000, 7, id) as k", "id")
+        right = spark.range(0, 100, 1, 2).selectExpr("id as k", "id as v").groupBy("k").agg(F.max("v").alias("v"))
+        assert set(hot_keys(left, ["k"])) == {spark.range(1).select(F.xxhash64(F.lit(7).cast("long"))).first()[0]}
+        joined = spread_join(left, right, ["k"], "left")
+        assert "_left" in joined._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+        per_task = [n for (n,) in joined.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert sum(per_task) == 6_000_000 and max(per_task) < 3 * sum(per_task) / 16
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_whole_numbers_of_any_width_are_one_key(frame):
     left, right = frame("k int, id int", *[(7, i) for i in range(50)], (8, 99)), frame("k long, v int", (7, 1), (8, 2))
     assert rows_of(spread_join(left, right, ["k"], **SPLIT), "id", "v") == sorted([(i, 1) for i in range(50)] + [(99, 2)], key=repr)
@@ -98,6 +118,11 @@ def test_lookup_in_a_short_and_a_long_list(frame, monkeypatch):
     assert "BroadcastHashJoin" in short._jdf.queryExecution().executedPlan().toString()
 
 
+def test_small_checks_the_bytes(frame):
+    df = frame("s string", ("x" * 100,), ("y" * 100,))
+    assert small(df, 2, 1000) is not df and small(df, 2, 100) is df
+
+
 def test_small_checks_the_size(frame):
     df = frame("k int", (1,), (2,), (3,))
     assert small(df, 2) is df

@@ -11,6 +11,7 @@ from touchline.functions import dates as D
 from touchline.operators import status
 from touchline.operators.mirror import mirror
 from touchline.plans.queries import ORDER_MIRROR
+from touchline.plans.registry import QUERIES
 from touchline.plans.views import Tables
 from touchline.sources import tables as S
 
@@ -20,7 +21,7 @@ def plan(df):
         df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_rows_no_cross_join_no_one_task_window(spark, name):
     text = plan(contract.queries()[name](spark, SMALL))
     for bad in ("EvalPython", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):

@@ -36,7 +36,11 @@ def test_slice_replaced_even_by_nothing(spark, frame, root):
     S = "id int, dt string"
     sink.write_partitions(frame(S, (1, "2024-01-05"), (2, "2024-01-06")), root, ["dt"])
     for _ in range(2):
-        sink.replace_slice(frame(S, (8, "2024-01-05"), (9, "2024-01-06")), root, "dt", "2024-01-05")
+        sink.replace_slice(frame(S, (8, "2024-01-05")), root, "dt", "2024-01-05")
+        assert rows_of(read(spark, root, S)) == [(2, "2024-01-06"), (8, "2024-01-05")]
+    for other in ("2024-01-06", None):
+        with pytest.raises(ValueError, match="outside the slice"):
+            sink.replace_slice(frame(S, (8, "2024-01-05"), (9, other)), root, "dt", "2024-01-05")
         assert rows_of(read(spark, root, S)) == [(2, "2024-01-06"), (8, "2024-01-05")]
     sink.replace_slice(frame(S), root, "dt", "2024-01-05")
     assert rows_of(read(spark, root, S)) == [(2, "2024-01-06")]
@@ -92,6 +96,22 @@ def test_publish_rewrites_the_table_it_reads(spark, frame, root):
     assert rows_of(read(spark, root)) == [B, C]
 
 
+def test_a_broken_publish_is_restored(spark, frame, root, tmp_path, monkeypatch):
+    sink.write_partitions(frame(T, A, B), root, ["month", "day"])
+
+    def dies(df, root, keys):
+        df.limit(0).write.mode("overwrite").parquet(root)
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(sink, "_overwrite", dies)
+        with pytest.raises(OSError):
+            sink.publish(read(spark, root).unionByName(frame(T, C)), root, ["month", "day"], f"{tmp_path}/aside")
+    assert read(spark, root).count() == 0
+    sink.restore(spark, f"{tmp_path}/aside", root, ["month", "day"])
+    assert rows_of(read(spark, root)) == [A, B, C]
+
+
 def test_snapshot_append_and_guards(spark, frame, root):
     sink.snapshot(frame("id int", (1,), (2,)), root)
     sink.snapshot(frame("id int", (3,)), root)
@@ -120,11 +140,11 @@ def test_run_in_one_partition_is_written_by_many_tasks(spark, root):
 
 def test_csv_handoff(spark, frame, root):
     df = frame("id int, t string, month string", (1, " x ", "202401"), (2, "y", "202401")).repartition(2)
-    handoff.write_csv(df, root, drop=["month"], one_file_rows=10)
+    handoff.write_csv(df, root, drop=["month"], files=1)
     (file,) = glob.glob(f"{root}/*.csv")
     lines = open(file).read().splitlines()
     assert lines[0] == "id,t" and sorted(lines[1:]) == ["1,x", "2,y"]
-    handoff.write_csv(df, root, drop=["month"], one_file_rows=1)
+    handoff.write_csv(df, root, drop=["month"], files=None)
     assert len(glob.glob(f"{root}/*.csv")) == 2
 
 

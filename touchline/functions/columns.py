@@ -102,8 +102,9 @@ def prefixed_key(col: Column, prefix: str) -> Column:
     return F.concat(F.lit(prefix), col.cast("string"))
 
 
-def stripped_key(col: Column, prefix: str, length: int = 20) -> Column:
-    return F.substring(col, len(prefix) + 1, length)
+def stripped_key(col: Column, prefix: str) -> Column:
+    """What follows the prefix, however long."""
+    return F.substr(col, F.lit(len(prefix) + 1))
 
 
 def contains_any(col: Column, needles: Sequence[str]) -> Column:
@@ -145,12 +146,16 @@ def with_epoch_ms(
     df: DataFrame,
     columns: Iterable[str],
     replace: bool = False,
-    patterns: Sequence[str] = TIMESTAMP_PATTERNS,
+    patterns: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """Add ``<column>_ms`` per date-like column; ``replace`` drops the column itself."""
-    columns = list(columns)
+    """Add ``<column>_ms`` per date-like column; ``replace`` drops the column itself.
+
+    ``patterns`` names the date forms of columns that do not use the common ones.
+    """
+    columns, own = list(columns), patterns or {}
     added = [
-        epoch_ms(as_timestamp(quoted(c), df.schema[c].dataType, patterns)).alias(f"{c}_ms") for c in columns
+        epoch_ms(as_timestamp(quoted(c), df.schema[c].dataType, own.get(c, TIMESTAMP_PATTERNS))).alias(f"{c}_ms")
+        for c in columns
     ]
     kept = [quoted(c) for c in df.columns if not (replace and c in columns)]
     return df.select(*kept, *added)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 # The text forms found in the input files. One-letter fields accept padded and un-padded digits.
 DATE_PATTERNS = ("yyyy-M-d", "yyyyMMdd", "M/d/yyyy")
+DAY_FIRST_PATTERNS = ("d/M/yyyy", "d-M-yyyy")  # named per column: the text alone does not tell day from month
 TIMESTAMP_PATTERNS = ("yyyy-M-d H:m:s", "yyyy-M-d", "yyyyMMdd", "M/d/yyyy h:m:s a", "M/d/yyyy")
 
 RunTime = dt.date | dt.datetime

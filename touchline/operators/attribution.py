@@ -33,6 +33,19 @@ def typed_conversions(conversions: DataFrame) -> DataFrame:
     )
 
 
+def credited_again(history: DataFrame, conversions: DataFrame, **options) -> DataFrame:
+    """:func:`attribute_conversions` for a history that an earlier run may have written.
+
+    Rows that an earlier run has not credited lose the conversions it had paired them with, and become one row per
+    message again; a pair that was credited then is not added a second time. So a second run with the same
+    conversions gives the same rows.
+    """
+    converted = F.coalesce("conv_flg", F.lit(False))
+    columns = [*CONVERSION_COLUMNS, "conv_flg"]
+    bare = history.withColumns({c: F.when(converted, F.col(c)) for c in columns}).dropDuplicates()
+    return attribute_conversions(bare, conversions, **options).dropDuplicates()
+
+
 def attribute_conversions(
     history: DataFrame,
     conversions: DataFrame,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.columns import conform, contains_any, long_of, prefixed_key, stamp, stripped_key, with_constants
 from touchline.functions.dates import day_key, month_key, on_day, parse_date
-from touchline.operators.joins import hot_keys, lookup_join, spread_join
+from touchline.operators.joins import NO_KEY, hot_keys, lookup_join, spread_join
 from touchline.operators.latest import latest_per_key, latest_with_ties
 from touchline.session import stage
 from touchline.schemas import CONTACTED_DISPOSITIONS, HISTORY, SIMPLE_HISTORY
@@ -98,7 +98,7 @@ def compose_day(
     )
     offered = spread_join(
         current_offers(offers, run_day, prefix, channel=channel, since=offers_since),
-        latest_links(links), ["id_oferta_int"], hot={},  # offer ids are surrogate, one row each: none is hot
+        latest_links(links), ["id_oferta_int"], hot={NO_KEY: 1.0},  # ids are one row each, but those that are NULL
     )
     # the raw tables tell the hot accounts at the price of a scan of one column
     offer_accounts = offers.select(prefixed_key(F.col("sub_acct_no"), prefix).alias("account_id"))

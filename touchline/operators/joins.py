@@ -9,18 +9,20 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.functions.columns import quoted
 
-HOT_SHARE = 1 / 256      # a key above this share of the rows is hot
+HOT_PARTITIONS = 3       # a key is hot that alone fills so many shuffle partitions of mean size
+MOST_HOT = 6_667         # at most so many keys are looked for, which the size of the sketch allows
 HOT_ROWS = 1_000_000     # smaller groups are never worth splitting
-BROADCAST_ROWS = 50_000  # most rows a (narrow) side may have to be broadcast by hint
+BROADCAST_ROWS = 50_000  # most rows a side may have to be broadcast by hint
+BROADCAST_BYTES = 16 << 20  # and most bytes, as text
 WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _MERGERS = 256           # tasks that merge the sketches of the scan tasks
-_NO_KEY = 0              # stands for a key with a NULL in it
+NO_KEY = 0               # stands for a key with a NULL in it
 
 
 def key_kind(df: DataFrame, key: str) -> str:
@@ -34,18 +36,25 @@ def key_hash(df: DataFrame, keys: Sequence[str]) -> Column:
     known = parts[0].isNotNull()
     for part in parts[1:]:
         known = known & part.isNotNull()
-    return F.when(known, F.xxhash64(*parts)).otherwise(F.lit(_NO_KEY).cast("long"))
+    return F.when(known, F.xxhash64(*parts)).otherwise(F.lit(NO_KEY).cast("long"))
+
+
+def hot_share(spark: SparkSession) -> float:
+    """The share of the rows above which a key is hot: it follows the number of shuffle partitions."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(min(HOT_PARTITIONS / parts, 1 / 2), 1 / MOST_HOT)
 
 
 def hot_keys(
-    df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], share: float | None = None, min_rows: int = HOT_ROWS
 ) -> dict[int, float]:
-    """Hashes of the keys that hold more than ``share`` of the rows, each with its share.
+    """Hashes of the keys that hold more than ``share`` of the rows, each with its share; see :func:`hot_share`.
 
     A sketch of the most frequent keys per scan task, merged by a few tasks: one pass over the key columns and no
     shuffle of them. Counts may be a little off; they only decide how rows are spread. No more than ``1/share``
     keys qualify, so what reaches the driver is bounded whatever the data.
     """
+    share = share or hot_share(df.sparkSession)
     most = math.ceil(1 / share)
     merged = (
         df.select(key_hash(df, keys).alias("_key"))
@@ -71,7 +80,7 @@ def spread_join(
     hot: dict[int, float] | None = None,
     hot_right: dict[int, float] | None = None,
     right_repeats: bool = False,
-    share: float = HOT_SHARE,
+    share: float | None = None,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Equi-join on the columns ``on`` (present on both sides), with hot keys split; the result is that of a join.
@@ -127,7 +136,7 @@ def spread_join(
         return max(2, math.ceil(parts * found[key])) if key in found else 1
 
     tags = left.sparkSession.createDataFrame(
-        [(key, salts(hot_left, key), salts(hot_right, key)) for key in {**hot_left, **hot_right} if key != _NO_KEY],
+        [(key, salts(hot_left, key), salts(hot_right, key)) for key in {**hot_left, **hot_right} if key != NO_KEY],
         "_key long, _lefts int, _rights int",
     )
 
@@ -179,12 +188,14 @@ def spread_join(
     return matched.unionByName(missing, allowMissingColumns=True)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has no more than ``rows`` rows, else unchanged.
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if it has no more than ``rows`` rows and ``most_bytes`` bytes, else unchanged.
 
     The count stops at the bound, so it never runs over a large table to the end.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    width = F.octet_length(F.to_json(F.struct("*")))
+    found = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if found["rows"] <= rows and found["bytes"] <= most_bytes else df
 
 
 def lookup_join(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from touchline.functions.columns import conform, stamp
 from touchline.functions.dates import RunTime, parse_date, trailing_days
 from touchline.operators import audience, compose, feeds, offers, status
-from touchline.operators.attribution import attribute_conversions, typed_conversions
+from touchline.operators.attribution import credited_again, typed_conversions
 from touchline.operators.ids import last_id
 from touchline.operators.mirror import Mirror, mirror
 from touchline.plans import mirrors
@@ -20,7 +20,7 @@ from touchline.session import staged
 from touchline.sinks import handoff
 from touchline.sinks import partitions as sink
 from touchline.sources.files import read_csv, read_export, read_pages
-from touchline.sources.tables import optional, scan, slice_between, slice_eq, slice_from
+from touchline.sources.tables import file_or_slice, optional, scan, slice_between, slice_eq, slice_from
 
 ARRIVAL_KEYS = ("month", "day", "day_hour")
 
@@ -91,7 +91,7 @@ def compose_and_store(history_root: str, run_day: dt.date, **inputs) -> None:
 
 def refresh_status(
     spark: SparkSession, history_root: str, run_day: dt.date, opens: DataFrame, clicks: DataFrame, bounces: DataFrame,
-    channel: str = "email", days: int = 1,
+    channel: str = "email", days: int = status.WINDOW_DAYS,
 ) -> None:
     """Bring the status of the last ``days`` days of one channel up to date, in one pass over their partitions.
 
@@ -139,24 +139,33 @@ def refresh_call_contact(
     sink.write_partitions(rows, history_root, HISTORY_KEYS, gather=False)
 
 
-def attribute(spark: SparkSession, history_root: str, conversions: DataFrame) -> None:
-    """Credit arrived conversions over the whole history and publish it again.
+def attribute(
+    spark: SparkSession, history_root: str, conversions: DataFrame | None = None, aside: str | None = None,
+    arrived: str | None = None, archive: str | None = None, keys: Mapping[str, object] | None = None,
+) -> None:
+    """Credit arrived conversions over the whole history and publish it again; a second run changes nothing.
 
-    The stored ``conversion_dt`` is text here.
+    Conversions are given, or read from the file ``arrived``, or else from the slice ``keys`` of the table ``archive``.
+    ``aside`` is where the new history is written first, see :func:`publish`.
     """
-    schema = HISTORY.replace("conversion_dt timestamp", "conversion_dt string")
-    history = spark.read.schema(schema).parquet(history_root)
-    rows = attribute_conversions(history, typed_conversions(conform(conversions, CONVERSIONS)))
-    sink.publish(rows, history_root, HISTORY_KEYS)
+    if conversions is None:
+        conversions = file_or_slice(spark, arrived, archive, dict(keys or {}), read_csv)
+    history = spark.read.schema(HISTORY).parquet(history_root)
+    rows = credited_again(history, typed_conversions(conform(conversions, CONVERSIONS)))
+    sink.publish(rows, history_root, HISTORY_KEYS, aside)
 
 
 # --- offers ----------------------------------------------------------------------------------------------
 
 def load_offers(spark: SparkSession, path: str, root: str, run: RunTime) -> None:
-    """Number, type and store an offers file; ids go on after the greatest stored one."""
-    stored = optional(
-        lambda: spark.read.schema(OFFERS_IN + ", id_oferta_int long").parquet(root), "id_oferta_int long", spark
-    )
+    """Number, type and store an offers file; ids go on after the greatest stored one.
+
+    The run's own partition does not count, so a run that is repeated gives the same ids.
+    """
+    ids = "id_oferta_int long, month string, day string, day_hour string"
+    stored = optional(lambda: spark.read.schema(f"{OFFERS_IN}, {ids}").parquet(root), ids, spark)
+    own = stamp(spark.range(1), run, "hour").select(*ARRIVAL_KEYS)
+    stored = stored.join(F.broadcast(own), list(ARRIVAL_KEYS), "left_anti")  # one row
     rows = offers.offers_assign_ids(read_csv(spark, path), last_id(stored, "id_oferta_int"), run)
     sink.write_partitions(rows, root, ARRIVAL_KEYS, gather=False)
 

@@ -11,7 +11,7 @@ from touchline.functions import columns as C
 from touchline.functions import dates as D
 from touchline.functions import names as N
 from touchline.operators import audience, compose, feeds, latest, offers, status
-from touchline.operators.attribution import attribute_conversions, typed_conversions
+from touchline.operators.attribution import attribute_conversions, credited_again, typed_conversions
 from touchline.operators.ids import dense_ids, last_id
 from touchline.operators.joins import lookup_join, spread_join
 from touchline.operators.mirror import Mirror, mirror, replaced_range, replaced_slice
@@ -130,7 +130,8 @@ def feed_sql(kind: str, have: set[str], rest: str) -> str:
 def register_feeds() -> None:
     for kind, event_type in FEED_OF_TYPE.items():
         sql = feed_sql(kind, FEED_COLUMNS, f"""
-            FROM feed WHERE event_type = '{event_type}' AND campaign_id IN (
+            FROM feed WHERE event_type = '{event_type}' AND contact_id IS NOT NULL
+            AND CAST(event_time AS DATE) = DATE '{RUN_DAY}' AND campaign_id IN (
                 SELECT id FROM campaigns WHERE program_id IN (SELECT id FROM programs WHERE contains(name, '#1')))""")
 
         def build(t: Tables, kind=kind, event_type=event_type) -> DataFrame:
@@ -349,7 +350,7 @@ def unequal_nullable(t: Tables) -> DataFrame:
 # --- joins -----------------------------------------------------------------------------------------------
 
 @query("""
-    SELECT h.comm_id, h.contact_id, c.account_id, substring(c.account_id, 5, 20) AS number
+    SELECT h.comm_id, h.contact_id, c.account_id, substring(c.account_id, 5) AS number
     FROM history h LEFT JOIN contacts c ON h.contact_id = c.user_id""", "history", "contacts")
 def left_lookup_dedup(t: Tables) -> DataFrame:
     rows = spread_join(t.history, compose.contact_accounts(t.contacts), ["contact_id"])
@@ -545,7 +546,9 @@ def audience_rows(t: Tables) -> DataFrame:
     SELECT f.contact_id, 'email' AS channel, f.campaign_id, c.name AS campaign_name, f.event_time, f.launch_id, {STAMP}
     FROM feed f LEFT JOIN (
         SELECT id, name FROM campaigns QUALIFY row_number() OVER (PARTITION BY id ORDER BY event_time DESC, name DESC) = 1
-    ) c ON f.campaign_id = c.id WHERE f.event_type IN ('signup', 'purchase', 'error')""", "feed", "campaigns")
+    ) c ON f.campaign_id = c.id
+    WHERE f.event_type IN ('signup', 'purchase', 'error') AND f.contact_id IS NOT NULL
+      AND CAST(f.event_time AS DATE) = DATE '{RUN_DAY}'""", "feed", "campaigns")
 def compose_simple(t: Tables) -> DataFrame:
     rows = t.feed.withColumn("campaign_id", F.col("campaign_id").cast("long"))
     kinds = [rows.where(F.col("event_type") == kind) for kind in ("signup", "purchase", "error")]
@@ -558,7 +561,8 @@ def compose_simple(t: Tables) -> DataFrame:
                CASE WHEN event_type = 'signup' THEN event_time END AS sent_dt,
                CASE WHEN event_type = 'purchase' THEN event_time END AS cancel_dt,
                CASE WHEN event_type = 'purchase' THEN reason END AS cancel_reason
-        FROM feed WHERE event_type IN ('signup', 'purchase')),
+        FROM feed WHERE event_type IN ('signup', 'purchase') AND contact_id IS NOT NULL
+        AND CAST(event_time AS DATE) = DATE '{RUN_DAY}'),
     offered AS (
         SELECT 'ACC_' || account AS account_id, * EXCLUDE (account) FROM offers
         WHERE offer_type = 'single' AND channel = 'email' AND day <= DATE '{RUN_DAY}'
@@ -569,7 +573,7 @@ def compose_simple(t: Tables) -> DataFrame:
     campaign AS (
         SELECT id, program_id FROM campaigns
         QUALIFY row_number() OVER (PARTITION BY id ORDER BY event_time DESC, program_id DESC) = 1)
-    SELECT c.account_id, substring(c.account_id, 5, 20) AS sub_acct_no_sbb, o.use_case, p.name AS campaign_name,
+    SELECT c.account_id, substring(c.account_id, 5) AS sub_acct_no_sbb, o.use_case, p.name AS campaign_name,
            b.contact_id, b.campaign_id, b.comm_dt, b.sent_dt, b.cancel_dt, b.cancel_reason, o.id_oferta_int,
            o.offer_type, o.day AS rec_date, o.regime, l.link, l.link_generated_dt, l.link_expiration_dt,
            CAST(m.program_id AS INTEGER) AS program_id, {STAMP}, 'email' AS channel
@@ -593,7 +597,7 @@ def compose_full(t: Tables) -> DataFrame:
 
 # --- attribution -----------------------------------------------------------------------------------------
 
-@query("""
+ATTRIBUTED = """
     , weighted AS (
         SELECT *, CASE channel WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 WHEN '3-MEDIUM' THEN 3
                   WHEN '4-NOT SPECIFIED' THEN 4 END AS weight FROM contact_history),
@@ -608,11 +612,33 @@ def compose_full(t: Tables) -> DataFrame:
            CASE WHEN r.conv_flg THEN r.conversion_dt ELSE strftime(c.conversion_ts, '%Y-%m-%d %H:%M:%S') END
                AS conversion_dt,
            CASE WHEN r.conv_flg THEN r.conversion_type WHEN c.order_id IS NOT NULL THEN 'new' END AS conversion_type
-    FROM ranked r LEFT JOIN conversions c ON r.account_id = c.account_id AND r.conv_flg IS NOT TRUE""",
-       "contact_history", "conversions", name="attribute_conversions")
+    FROM ranked r LEFT JOIN conversions c ON r.account_id = c.account_id AND r.conv_flg IS NOT TRUE"""
+WEIGHTS = {"1-URGENT": 1, "2-HIGH": 2, "3-MEDIUM": 3, "4-NOT SPECIFIED": 4}
+
+
+@query(ATTRIBUTED, "contact_history", "conversions", name="attribute_conversions")
 def attribute(t: Tables) -> DataFrame:
-    weights = {"1-URGENT": 1, "2-HIGH": 2, "3-MEDIUM": 3, "4-NOT SPECIFIED": 4}
-    return attribute_conversions(t.contact_history, typed_conversions(t.conversions), weights)
+    return attribute_conversions(t.contact_history, typed_conversions(t.conversions), WEIGHTS)
+
+
+@query(ATTRIBUTED, "contact_history", "conversions")
+def attribute_conversions_again(t: Tables) -> DataFrame:
+    """The operator over its own result gives that result."""
+    found = typed_conversions(t.conversions)
+    return credited_again(attribute_conversions(t.contact_history, found, WEIGHTS), found, weights=WEIGHTS)
+
+
+@query("""
+    SELECT o_orderkey, o_orderdate AS slashed, o_orderdate AS dashed,
+           CASE WHEN day(o_orderdate) <= 12 THEN make_timestamp(year(o_orderdate), day(o_orderdate), month(o_orderdate), 0, 0, 0)
+           END AS taken_month_first FROM orders""")
+def day_first_dates(t: Tables) -> DataFrame:
+    """Day-first text by its own forms; by the common ones it is another day, or none if the day is above 12."""
+    when = F.col("o_orderdate")
+    text = t.orders.select("o_orderkey", F.date_format(when, "d/M/yyyy").alias("slash"), F.date_format(when, "d-M-yyyy").alias("dash"))
+    return text.select(
+        "o_orderkey", D.parse_timestamp(F.col("slash"), D.DAY_FIRST_PATTERNS).alias("slashed"),
+        D.parse_timestamp(F.col("dash"), D.DAY_FIRST_PATTERNS).alias("dashed"), D.parse_timestamp(F.col("slash")).alias("taken_month_first"))
 
 
 # --- audiences and contacts ------------------------------------------------------------------------------
@@ -779,6 +805,6 @@ def row_count(t: Tables) -> DataFrame:
     return t.orders.agg(F.count(F.lit(1)).alias("rows"), F.count("o_totalprice").alias("priced"))
 
 
-@query()
+@query("SELECT * FROM orders ORDER BY o_orderkey LIMIT 3")
 def limit_preview(t: Tables) -> DataFrame:
-    return t.orders.limit(3)
+    return t.orders.orderBy("o_orderkey").limit(3)

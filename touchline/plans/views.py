@@ -40,9 +40,10 @@ class Tables:
 
     @cached_property
     def feed(self) -> DataFrame:
-        """Events of the run day with every column a feed asks for; campaign ids are text."""
-        return self.ev.selectExpr(
-            "contact_id", "event_id as launch_id", "event_type as campaign_type", "cast(k as string) as campaign_id",
+        """Events with every column a feed asks for; campaign ids are text. A tenth are of the day before the run day, and
+        a tenth have no contact."""
+        return self.ev.withColumn("load_time", F.expr("if(k % 10 = 3, load_time - interval 1 day, load_time)")).selectExpr(
+            "if(k % 10 = 7, null, contact_id) as contact_id", "event_id as launch_id", "event_type as campaign_type", "cast(k as string) as campaign_id",
             "load_time as event_time", "date_sub(to_date(load_time), k % 20) as email_sent_at",
             "concat('mail', k) as domain", "k as message_id", "contact_id as customer_id",
             "concat('reason ', k) as reason", "concat('reason ', k) as dsn_reason",
@@ -72,9 +73,10 @@ class Tables:
 
     @cached_property
     def campaigns(self) -> DataFrame:
-        """Campaign versions: a hundred ids, the brand number as program."""
+        """Campaign versions: a hundred ids, the brand number as program; ids from 50 on are all of program 55."""
         return self.part.selectExpr(
-            "p_partkey % 100 as id", "p_name as name", "cast(substring(p_brand, 7, 4) as long) as program_id",
+            "p_partkey % 100 as id", "p_name as name",
+            "if(p_partkey % 100 < 50, cast(substring(p_brand, 7, 4) as long), 55L) as program_id",
             "timestamp_ntz'1999-01-01' + make_dt_interval(p_size) as event_time", "p_partkey", "p_type as type",
             "cast(p_partkey as string) as version_name",
         )
@@ -154,11 +156,11 @@ VIEWS_SQL = {
                value, ts AS event_time, TIMESTAMP '{RUN_DAY}' + (ts - date_trunc('day', ts)) AS load_time
         FROM events""",
     "feed": """
-        SELECT contact_id, event_id AS launch_id, event_type AS campaign_type, CAST(k AS BIGINT) AS campaign_id,
-               load_time AS event_time, CAST(load_time AS DATE) - (k % 20) AS email_sent_at, 'mail' || k AS domain,
+        SELECT CASE WHEN k % 10 <> 7 THEN contact_id END AS contact_id, event_id AS launch_id, event_type AS campaign_type, CAST(k AS BIGINT) AS campaign_id,
+               load_day AS event_time, CAST(load_day AS DATE) - (k % 20) AS email_sent_at, 'mail' || k AS domain,
                k AS message_id, contact_id AS customer_id, 'reason ' || k AS reason, 'reason ' || k AS dsn_reason,
                CASE WHEN value > 50 THEN 'hard' ELSE 'soft' END AS bounce_type, 'link' || k AS link_id, event_type
-        FROM ev""",
+        FROM (SELECT *, CASE WHEN k % 10 = 3 THEN load_time - INTERVAL 1 DAY ELSE load_time END AS load_day FROM ev)""",
     "history": """
         SELECT event_id AS comm_id, contact_id, event_id % 2 AS campaign_id, CAST(event_time AS DATE) AS comm_dt,
                event_time AS sent_dt, CASE WHEN value > 100 THEN 'Outbound_call' ELSE 'email' END AS channel,
@@ -174,7 +176,8 @@ VIEWS_SQL = {
                CASE WHEN value > 50 THEN 'hard' ELSE 'soft' END AS bounce_type, 'code ' || k AS dsn_reason
         FROM ev""",
     "campaigns": """
-        SELECT p_partkey % 100 AS id, p_name AS name, CAST(substring(p_brand, 7, 4) AS BIGINT) AS program_id,
+        SELECT p_partkey % 100 AS id, p_name AS name,
+               CASE WHEN p_partkey % 100 < 50 THEN CAST(substring(p_brand, 7, 4) AS BIGINT) ELSE 55 END AS program_id,
                TIMESTAMP '1999-01-01' + to_days(p_size) AS event_time, p_partkey, p_type AS type,
                CAST(p_partkey AS VARCHAR) AS version_name
         FROM part""",

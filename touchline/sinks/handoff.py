@@ -9,15 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_csv(df: DataFrame, folder: str, drop: Sequence[str] = (), one_file_rows: int = 0, sep: str = ",") -> None:
+def write_csv(df: DataFrame, folder: str, drop: Sequence[str] = (), files: int | None = None, sep: str = ",") -> None:
     """A folder of CSV files with header and trimmed text.
 
-    Large results keep one file per task. A partner that takes a single file gets one if the result has no more
-    than ``one_file_rows`` rows.
+    ``files`` is how many files the partner takes at most: 1 always gives one, whatever the size. Without it each
+    task writes its own.
     """
     rows = df.drop(*drop)
-    if one_file_rows and rows.limit(one_file_rows + 1).count() <= one_file_rows:
-        rows = rows.coalesce(1)
+    if files is not None:
+        rows = rows.coalesce(files)
     (
         rows.write.mode("overwrite")
         .option("header", True).option("sep", sep)

@@ -67,11 +67,13 @@ def replace_where(df: DataFrame, root: str, keys: Sequence[str], where: Column)
 def replace_slice(df: DataFrame, root: str, key: str, value: object) -> None:
     """Replace one slice of a table partitioned by ``key``, also when there are no new rows.
 
-    The slice is one folder, so this is one plain overwrite of it.
+    The slice is one folder, so this is one plain overwrite of it. Rows of another slice, or of none, are refused
+    before anything is written.
     """
-    df.where(F.col(key) == F.lit(value)).drop(key).write.mode("overwrite").parquet(
-        partition_folder(root, [key], [value])
-    )
+    with staged(df) as rows:
+        if not rows.where(~F.col(key).eqNullSafe(F.lit(value))).isEmpty():
+            raise ValueError(f"new rows lie outside the slice {key} = {value!r}")
+        rows.drop(key).write.mode("overwrite").parquet(partition_folder(root, [key], [value]))
 
 
 def replace_range(df: DataFrame, root: str, key: str, low: object, high: object) -> None:
@@ -122,18 +124,29 @@ def snapshot(df: DataFrame, root: str) -> None:
     df.write.mode("overwrite").parquet(root)
 
 
-def publish(df: DataFrame, root: str, keys: Sequence[str]) -> DataFrame:
+def publish(df: DataFrame, root: str, keys: Sequence[str], aside: str | None = None) -> DataFrame:
     """Replace a whole partitioned table that ``df`` may itself be read from: write aside, then copy over.
 
-    Returns the copy written aside. The copy keeps its file layout, so the second write does not shuffle. An
-    empty ``df`` leaves the table as it is.
+    Returns the copy written to ``aside``, a folder that does not exist yet; the shared folder is used without one.
+    If the second write dies, the table is whole in ``aside`` and :func:`restore` brings it back, so a caller that
+    must not lose it names the folder. The copy keeps its file layout, so the second write does not shuffle. An empty
+    ``df`` leaves the table as it is.
     """
-    copy = stage(balanced(df, keys))
+    copy = stage(balanced(df, keys), aside)
     if not copy.isEmpty():
-        (copy.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*keys).parquet(root))
+        _overwrite(copy, root, keys)
     return copy
 
 
+def restore(spark: SparkSession, aside: str, root: str, keys: Sequence[str]) -> None:
+    """Write the table again from the copy that a broken-off :func:`publish` left."""
+    _overwrite(spark.read.parquet(aside), root, keys)
+
+
+def _overwrite(df: DataFrame, root: str, keys: Sequence[str]) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*keys).parquet(root)
+
+
 def write_if_rows(df: DataFrame, write) -> bool:
     """Run ``write(df)`` unless ``df`` is empty; says whether it did."""
     if df.isEmpty():

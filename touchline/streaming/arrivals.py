@@ -31,15 +31,17 @@ def stamped_by_name(df: DataFrame) -> DataFrame:
 
 
 def ingest_arrivals(
-    stream: DataFrame, root: str, keys: Sequence[str], checkpoint: str,
+    stream: DataFrame, root: str, keys: Sequence[str], checkpoint: str, name: str,
     transform: Callable[[DataFrame], DataFrame] = stamped_by_name,
 ) -> None:
     """Run ``transform`` over what has arrived and store it; ends when all of it is stored.
 
-    A micro-batch that is run again after a failure replaces what it had written.
+    ``name`` is the ingestion's own and stays the same from run to run. A micro-batch that is run again after a failure
+    replaces what it had written; batches of other ingestions into the same table are told apart by the name. A new
+    checkpoint starts a new ingestion: it reads every file again, so it needs a new name and another table.
     """
     def load(batch: DataFrame, batch_id: int) -> None:
-        append_batch(transform(batch), root, keys, f"{batch_id:010d}")
+        append_batch(transform(batch), root, keys, f"{name}-{batch_id:010d}")
 
     query = (
         stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
