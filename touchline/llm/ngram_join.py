@@ -225,8 +225,8 @@ def batch_of(columns: list[np.ndarray], rows: np.ndarray) -> pa.RecordBatch:
 
 
 def wanted_bits(wanted: DataFrame) -> np.ndarray:
-    """A bit for each fp modulo 2 ** WANTED_BITS; it lets through every wanted set and few others."""
-    place = F.expr(f"fp & {(1 << WANTED_BITS) - 1}")
+    """A bit for each key modulo 2 ** WANTED_BITS; it lets through every wanted document and few others."""
+    place = F.expr(f"key & {(1 << WANTED_BITS) - 1}")
     rows = wanted.select(F.bitmap_bucket_number(place + 1).alias("bucket"), F.bitmap_bit_position(place + 1).alias("bit"))
     out = np.zeros((1 << WANTED_BITS) // 8, np.uint8)
     for row in rows.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():
@@ -236,13 +236,16 @@ def wanted_bits(wanted: DataFrame) -> np.ndarray:
 
 
 def cut_sets(docs: DataFrame, n: int, counts, cuts: np.ndarray, bits) -> DataFrame:
-    """Third pass: (fp, fragment, grams) of the sets let through by ``bits``."""
+    """Third pass: (fp, fragment, grams) of the documents (text, key) let through by ``bits``; of others no set is made."""
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.column(1).to_numpy() & (1 << WANTED_BITS) - 1
+            let_through = bits.value[place >> 3] >> (place & 7).astype(np.uint8) & 1
+            yield batch.filter(pa.array(let_through.astype(bool))).select([0])
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, held = [], 0
-        for fp, found in once(texts_of(batches, n)):
-            place = fp & (1 << WANTED_BITS) - 1
-            if not bits.value[place >> 3] >> (place & 7) & 1:
-                continue
+        for fp, found in once(texts_of(wanted(batches), n)):
             fragment = np.searchsorted(cuts, order_keys(found, counts.value), "right")
             waiting += [(fp, int(f), found[fragment == f].view(np.int64)) for f in np.unique(fragment)]
             held += len(found)
@@ -274,19 +277,19 @@ def groups(docs: DataFrame, n: int, percent: int, fragments: int = 4) -> DataFra
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
-    read = read_sets(rows.withColumn("key", key_of()), n)
-    rows = rows.select("text")
+    keyed = rows.withColumn("key", key_of())
+    read, rows = read_sets(keyed, n), rows.select("text")
     documents = read.filter("slice IS NULL").select("doc_id", "key", "fp", "n_shingles")
-    marks = stage(read.filter("fp IS NOT NULL").groupBy("fp").agg(F.any_value("mark").alias("mark")))
+    marks = stage(read.filter("fp IS NOT NULL").groupBy("fp").agg(F.any_value("mark").alias("mark"), F.min("key").alias("key")))
     table = global_counts(read)
     counts, cuts = spark.sparkContext.broadcast(table), pivots(table, fragments)
     lists = stage(met(first_grams(rows, n, percent, counts)))
 
     def checked(pairs: DataFrame) -> DataFrame:
         """The similar ones of ``pairs``, whose fragments a pass over the texts gives."""
-        wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct())
+        wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(marks.select("fp", "key"), "fp"))
         bits = spark.sparkContext.broadcast(wanted_bits(wanted))
-        cut = cut_sets(rows, n, counts, cuts, bits).join(wanted, "fp", "left_semi")
+        cut = cut_sets(keyed.select("text", "key"), n, counts, cuts, bits).join(wanted, "fp", "left_semi")
         sets = stage(cut.groupBy("fp", "fragment").agg(F.any_value("grams").alias("grams")))
         return linked(pairs, sets, fragments, percent)
 
@@ -304,7 +307,7 @@ def groups(docs: DataFrame, n: int, percent: int, fragments: int = 4) -> DataFra
     rest = grouped.join(mixed, "token", "left_semi")
     least = share_of(share_of(F.max("n"), percent), percent)
     often = stage(rest.groupBy("fp").agg(F.count("*").alias("met"), F.least(F.lit(SHARED), least).alias("least")).filter("met >= least").select("fp"))
-    rest = stage(rest.join(often, "fp", "left_semi").join(marks, "fp"))
+    rest = stage(rest.join(often, "fp", "left_semi").join(marks.drop("key"), "fp"))
     side = lambda x: rest.select("token", *[F.col(c).alias(f"{x}_{c}") for c in ("n", "place", "root", "mark")], F.col("fp").alias(x))
     common = F.ceil(percent * (F.col("a_n") + F.col("b_n")) / (100 + percent))
     first = (F.col("a_place") < F.col("a_n") - common + enough) & (F.col("b_place") < F.col("b_n") - common + enough)
