@@ -86,6 +86,21 @@ def test_edited_passages(spark, no_documents, index_rows):
     assert clean == sorted(((i, t) for i, t in rows if not plain_hits(t, plain)), key=repr)
 
 
+def test_items_in_another_order_are_found(spark):
+    rng = random.Random(6)
+    made = lambda c, n: [f"{c}{rng.randrange(10**6)}" for _ in range(n)]
+    halves, moved, other = made("p", 60), made("m", 90), made("o", 200)
+    items = [(1, " ".join(halves)), (2, " ".join(moved)), (3, " ".join(made("n", 40)))]
+    swapped, put_before = halves[30:] + halves[:30], moved[70:] + moved[:70]
+    texts = [other[:80] + swapped + other[80:], swapped + other, other + swapped, other + swapped[:56], other[:50] + put_before + other[50:],
+             other + halves[:57] + other, swapped * 3, other[:9] + halves[40:] + halves[20:40] + halves[:20] + other]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    frame, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    expected = {(i, k, *v) for i, t in rows for k, v in plain_hits(t, items).items()}
+    assert {(r.doc_id, r.item_id, r.similarity, r.start) for r in decontamination.contaminated(frame, marks).collect()} == expected
+    assert {(i, k) for i, k, *_ in expected} >= {(0, 1), (1, 1), (2, 1), (4, 2), (5, 1)}
+
+
 def test_blocks_miss_nothing_within_the_radius(spark):
     rng = random.Random(2)
     pairs = []

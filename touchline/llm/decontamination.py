@@ -1,7 +1,7 @@
 """Benchmark passages in documents: SimHash of item-sized windows, a multi-index search, and an exact check.
 
-A window has as many words as some item. Only windows that share a shingle with an item of their size, at the place
-where the item has it, are looked at: others have similarity 0. Their 64-bit SimHashes are searched among the items' by
+A window has as many words as some item. Only windows that hold enough shingles of one item, in whatever order, are
+looked at: others cannot be similar to it. Their 64-bit SimHashes are searched among the items' by
 blocks: of four 16-bit blocks, two fingerprints within ``RADIUS`` differ by at most ``RADIUS // 4`` bits in one, so
 listing each item under all block values within ``ITEM_BITS`` and asking for all within ``WINDOW_BITS`` misses none.
 What is found is checked by the weighted Jaccard similarity of the shingles themselves, weights being how often each
@@ -41,7 +41,8 @@ SIMHASH = ("aggregate(sequence(0, 63), 0L, (bits, b) -> if(aggregate(hashes, 0,
 
 
 def within(bits: int) -> str:
-    return f"filter(sequence(0, 65535), x -> bit_count(x) <= {bits})"
+    """SQL of the 16-bit masks of at most so many bits, listed, as Spark would filter all numbers anew for every row."""
+    return "array(" + ", ".join(str(x) for x in range(1 << 16) if x.bit_count() <= bits) + ")"
 
 
 def blocks(table: DataFrame, bits: int) -> DataFrame:
@@ -63,18 +64,40 @@ def items_of(benchmark: DataFrame) -> DataFrame:
         "size", F.size("words")).withColumn("item", F.md5(F.array_join("words", " "))))
 
 
-def windows_of(docs: DataFrame, items: DataFrame, index_rows: int = INDEX_ROWS) -> DataFrame:
-    """Windows (row, doc_id, id_text, start, size, window) of the documents that share a shingle with an item, staged."""
-    index = stage(items.select("size", F.posexplode(F.expr(HASHES)).alias("at", "hash")).distinct())
+def starts(percent: int) -> str:
+    """SQL of the starts of windows that may be similar to an item of ``n`` shingles, which stand at the sorted
+    ``places`` of a text of ``total`` shingles; each start once.
+
+    Similar are sets of n and m shingles if percent * (n + m) of 100 + percent are common at least, so a whole window
+    holds ``full`` places and one cut off by the text's end, where m is no less than is common, ``cut``. The windows
+    that hold the places i to i + k - 1 start from the last one's place - n + 1 to the first one's; those that start
+    up to place i - 1 hold k places from there on too and are listed with it.
+    """
+    def spans(k: str, low: str, high: str) -> str:
+        first = f"greatest({low}, places[i + {k} - 1] - n + 1, if(i = 0, 0, places[greatest(i - 1, 0)] + 1))"
+        ranges = f"transform(sequence(0, size(places) - {k}), i -> struct({first} AS lo, least({high}, places[i]) AS hi))"
+        return f"if(size(places) < {k}, array(), flatten(transform(filter({ranges}, r -> r.lo <= r.hi), r -> sequence(r.lo, r.hi))))"
+
+    full, cut = f"CAST(ceil({2 * percent} * n / {100 + percent}) AS INT)", f"CAST(ceil({percent} * n / 100) AS INT)"
+    both = f"concat({spans('k.full', '0', 'total - n')}, {spans('k.cut', 'greatest(0, total - n + 1)', 'total - 1')})"
+    return let("k", f"struct(greatest(1, {full}) AS full, greatest(1, {cut}) AS cut)", both)
+
+
+def windows_of(docs: DataFrame, items: DataFrame, percent: int, index_rows: int = INDEX_ROWS) -> DataFrame:
+    """Windows (row, doc_id, id_text, start, size, window) of the documents that hold enough of an item, staged."""
+    index = stage(items.select("size", F.xxhash64("words").alias("number"), F.size(F.expr(HASHES)).alias("n"), F.explode(F.expr(HASHES)).alias("hash")).distinct())
     turns = max(1, -(-index.count() // index_rows))
-    read = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), key_of().alias("id_text"), F.expr(WORDS).alias("words"))
     # The outer form, as the plain one has Spark compute the array once more to filter empty ones.
-    listed = read.withColumn("hashes", F.expr(HASHES)).select("row", "doc_id", "id_text", "words", F.posexplode_outer("hashes").alias("place", "hash"))
-    start = F.greatest(F.lit(0), F.col("place") - F.col("at"))
-    window = F.expr("array_join(slice(words, start + 1, size), ' ')")
-    found = [listed.join(F.broadcast(index.filter(F.expr(f"pmod(hash, {turns}) = {turn}"))), "hash")
-             .withColumn("start", start).select("row", "doc_id", "id_text", "start", "size", window.alias("window")) for turn in range(turns)]
-    return stage(reduce(DataFrame.union, found).distinct())
+    listed = docs.select(key_of().alias("id_text"), F.expr(WORDS).alias("words")).withColumn("hashes", F.expr(HASHES)).select(
+        "id_text", F.size("hashes").alias("total"), F.posexplode_outer("hashes").alias("place", "hash"))
+    found = [listed.join(F.broadcast(index.filter(F.expr(f"pmod(hash, {turns}) = {turn}"))), "hash").drop("hash") for turn in range(turns)]
+    held = reduce(DataFrame.union, found).groupBy("id_text", "total", "number", "size", "n").agg(F.array_sort(F.collect_set("place")).alias("places"))
+    begun = held.withColumn("starts", F.expr(starts(percent))).filter("size(starts) > 0")
+    begun = stage(begun.groupBy("id_text", "size").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts")))
+    read = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), key_of().alias("id_text"), "text")
+    cut = read.join(begun, "id_text").select("row", "doc_id", "id_text", "size", "starts", F.expr(WORDS).alias("words"))
+    return stage(cut.select("row", "doc_id", "id_text", F.explode("starts").alias("start"), "size", "words").withColumn(
+        "window", F.expr("array_join(slice(words, start + 1, size), ' ')")).drop("words"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = 80, index_rows: int = INDEX_ROWS) -> DataFrame:
@@ -87,12 +110,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = 80, index
     words. NULL and empty texts or items hold and are held by nothing; repeated rows give rows each; a NULL doc_id
     stays NULL. Without documents or items there are no rows.
 
-    The texts are read once a turn and not shuffled: what leaves a task is the windows, each once. Windows of the same
+    The texts are read once a turn for the places of the items' shingles, and once more for the windows, by a join on
+    the hash of id and text with what was found. Windows of the same
     words are searched and checked once, whatever the number of documents that have them, and come back to these by a
     join of two staged tables, whose large partitions adaptive execution splits.
     """
     items = items_of(benchmark)
-    windows = windows_of(docs, items, index_rows).withColumn("key", F.md5("window"))
+    windows = windows_of(docs, items, percent, index_rows).withColumn("key", F.md5("window"))
     distinct = stage(fingerprinted(windows.groupBy("size", "key").agg(F.any_value("window").alias("window")).withColumn("words", F.split("window", " "))).drop("words", "window"))
     listed = stage(fingerprinted(items).drop("words"))
     asked, known = blocks(distinct.select("size", "key", "simhash"), WINDOW_BITS), blocks(listed.select("size", "item", "simhash"), ITEM_BITS)
