@@ -65,6 +65,14 @@ def test_widely_owned_values_are_not_added(spark, no_documents):
     assert secret_scan.scan(no_documents).count() == 0
 
 
+def test_values_copied_within_one_owner_are_not_added(spark):
+    live, copied = "aB3" + "dE5fG7" * 4, "xY9" + "wV8uT6" * 4
+    rows = [(i, copied, "hot") for i in range(11)] + [(i, live, "hot") for i in range(20, 30)] + [(20, live, "hot")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((r.doc_id, [s.kind for s in r.spans], r.n_live, r.n_copied) for r in secret_scan.scan(docs).collect())
+    assert got == sorted([(i, [], 0, 1) for i in range(11)] + [(i, ["opaque"], 1, 0) for i in (20, *range(20, 30))])
+
+
 def test_odd_documents_have_rows(odd_documents):
     assert secret_scan.scan(odd_documents).count() == odd_documents.count()
 

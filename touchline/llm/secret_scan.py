@@ -1,8 +1,9 @@
 """Secrets in texts, and how widely each candidate is owned across the corpus.
 
 Candidates are found by patterns, hashed, and counted by distinct repositories and owners. A value that many owners
-have is an example that was copied around; one that few have looks live. The patterns of ``BASE`` are reported
-whatever their owners; those of ``LOOSE`` match much that is no secret and are reported only if few owners have them.
+or many repositories have is an example that was copied around; one that few of both have looks live. The patterns of
+``BASE`` are reported whatever their owners; those of ``LOOSE`` match much that is no secret and are reported only if
+they look live.
 """
 
 from __future__ import annotations
@@ -65,11 +66,12 @@ def listed(spans: str) -> str:
     return f"array_join(transform({spans}, s -> concat(s.kind, ':', s.start, ':', s.end)), ',')"
 
 
-def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", max_owners: int = 2, keep: tuple[str, ...] = ()) -> DataFrame:
+def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", max_owners: int = 2, keep: tuple[str, ...] = (),
+         max_repositories: int = 10) -> DataFrame:
     """Spans of secrets per row of ``docs`` (doc_id, text and the two named columns; others are not read).
 
     Columns: doc_id, ``base`` and ``spans`` (arrays of start, place, kind, end, value, by start and then kind; ``spans``
-    adds the loose ones that at most ``max_owners`` owners have and that lie in no base span), n_live and n_copied
+    adds the loose ones that at most ``max_owners`` owners and ``max_repositories`` repositories have and that lie in no base span), n_live and n_copied
     (candidates of the row by that test), and with ``keep`` a struct ``kept`` of these columns. NULL text is empty; a NULL owner or
     repository counts as one owner or repository of its own; repeated rows are rows of their own but add no owner. An
     empty table gives no rows.
@@ -90,7 +92,7 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", max
         "found", F.expr(f"filter(found, s -> s.place < {len(BASE)} OR NOT {inside})"))
     candidates = found.select("row", "owner", "repository", F.explode("found").alias("s")).withColumn("hash", F.unhex(F.sha1("s.value")))
     owned = stage(candidates.groupBy("hash").agg(F.count_distinct("owner").alias("owners"), F.count_distinct("repository").alias("repositories")))
-    live = F.col("owners") <= max_owners
+    live = (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
     judged = candidates.select("row", "hash", "s").join(owned, "hash").groupBy("row").agg(
         F.collect_list(F.when(live & (F.col("s.place") >= len(BASE)), F.col("s"))).alias("added"),
         F.count_if(live).alias("n_live"), F.count_if(~live).alias("n_copied"))
