@@ -87,3 +87,10 @@ h AS (SELECT *, common / (total - common) AS similarity FROM c WHERE 100 * commo
 best AS (SELECT *, row_number() OVER (PARTITION BY r, item_id ORDER BY similarity DESC, start) AS n FROM h)
 SELECT doc_id, item_id, similarity, start, size AS n_words FROM best WHERE n = 1
 """
+
+
+EXACT = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""

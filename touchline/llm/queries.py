@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import decontamination, language, ngram_join, oracles, packing, quality, secret_scan, token_files, toxicity, urls, warc
+from touchline.llm import decontamination, exact_dedup, language, ngram_join, oracles, packing, quality, secret_scan, token_files, toxicity, urls, warc
 from touchline.session import pin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,8 @@ def op6_ngram_join(table) -> DataFrame:
 @query(oracles.DECONTAMINATION)
 def op4_decontamination(table) -> DataFrame:
     return decontamination.contaminated(table("documents"), table("benchmark")).drop("distance", "id_text")
+
+
+@query(oracles.EXACT)
+def op13_exact_dedup(table) -> DataFrame:
+    return exact_dedup.duplicates(table("documents"))
