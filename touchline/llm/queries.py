@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import alignment, decontamination, exact_dedup, language, ngram_join, oracles, packing, quality, secret_scan, token_files, toxicity, urls, warc
+from touchline.llm import alignment, decontamination, exact_dedup, language, ngram_join, oracles, packing, prefix_trie, quality, secret_scan, token_files, toxicity, urls, warc
 from touchline.session import pin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,8 @@ def op13_exact_dedup(table) -> DataFrame:
 @query()
 def op12_alignment(table) -> DataFrame:
     return alignment.align(table("documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query(oracles.TRIE)
+def op11_prefix_trie(table) -> DataFrame:
+    return prefix_trie.trie(*prefix_trie.rebuilt(prefix_trie.ordered_turns(table("conversations"))))
