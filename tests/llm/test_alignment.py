@@ -107,7 +107,7 @@ def test_words_one_by_one_give_the_ids_of_whole_texts():
     @settings(max_examples=400, deadline=None)
     @given(st.text(st.sampled_from("abéß 's  \t\n\r\xa0▁<x0A>ﬁ语") | st.characters(codec="utf-8"), max_size=40))
     def same(text):
-        assert list(side.ids(text)) == MODEL.encode(text)
+        assert np.frombuffer(side.encode(" " + text)[0], "<u4").tolist() == MODEL.encode(text)
 
     same()
 
@@ -125,4 +125,4 @@ def test_steps_are_bounded_by_the_lane():
     known = aligner()
     a, b = known.tokens("many words of one long text " * 60_000)
     merged = alignment.Merged([a], [b], *known.sizes)
-    assert len(a) > 300_000 and len(merged.doc) >= len(a) and merged.steps <= 4 * alignment.LANE
+    assert len(a) > 4 * 300_000 and len(merged.doc) >= len(a) // 4 and merged.steps <= 4 * alignment.LANE

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 from collections import Counter
 
 import duckdb
@@ -170,3 +171,13 @@ def test_the_sample_of_labels_is_bounded_and_steady(spark):
     marks = spark.createDataFrame([(i % 50, i % 2) for i in range(200)], "doc_id long, toxic int")
     first = toxicity.sampled_labels(marks, 20).collect()
     assert len(first) == 20 and first == toxicity.sampled_labels(marks.repartition(7), 20).collect()
+
+
+def test_scan_of_falling_scores_is_linear():
+    """300,000 scoring words, each segment beginning lower than all before it: the worst case of a walk over candidates."""
+    hits = [(31 * i, 1.0) for i in range(300_000)]
+    start = time.perf_counter()
+    assert len(toxicity.maximal(hits, drift=0.1)) == 300_000
+    mixed = [(3 * i, 1.0 + (i * 7919 % 13) / 10) for i in range(300_000)]
+    assert toxicity.maximal(mixed, drift=0.9)
+    assert time.perf_counter() - start < 10

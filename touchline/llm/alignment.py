@@ -14,22 +14,24 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.tokens import encoder
+from touchline.llm.tokens import Encoder, packed
+from touchline.llm.workers import by_bytes, held
 from touchline.session import stage
 
 #: A tokens of a lane. Steps of a batch are bounded by these and the B tokens beside them.
 LANE = 512
 #: Bytes of text, about, that are merged together.
-BATCH_BYTES = 2_000_000
+MERGED_BYTES = 2_000_000
 #: Pairs whose counts are sent to every task: 16 bytes each. Links of all others get theirs by a shuffle.
 SENT_PAIRS = 1 << 20
+#: Words a side remembers: twice this many at most, as the older half goes first.
 REMEMBERED = 300_000
 MARK = "▁"  # stands for a space in the pieces
 _SEGMENT = re.compile(" +[^ ]*")
@@ -43,25 +45,64 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in same} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-class ByteLevel:
-    """Side A: a byte-level tokenizer file; ids of whole texts and the bytes of each id."""
+class Side:
+    """A tokenizer with the bytes of its ids, which are packed as little-endian unsigned 32-bit integers."""
+
+    bytes: list[bytes]
+    #: Whether every word met so far is the bytes of its ids; texts made of such words are too.
+    exact = True
+
+    def joined(self, ids: bytes) -> bytes:
+        return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+    def encode(self, whole: str) -> tuple[bytes, bool]:
+        """Ids of a text with the space before it, and whether it was put together from words."""
+        raise NotImplementedError
+
+    def ids(self, whole: str) -> bytes | None:
+        """The same; None if the joined bytes of the ids are not those of the text."""
+        ids, of_words = self.encode(whole)
+        return ids if of_words and self.exact or self.joined(ids) == whole.encode() else None
+
+
+class Words(dict):
+    """Word -> its packed ids; each new word is compared with its bytes. Two generations bound the memory."""
+
+    def __init__(self, side: Side, encode: Callable[[str], list[int]]) -> None:
+        super().__init__()
+        self.side, self.encode, self.older = side, encode, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            found = self.encode(word)
+            self.side.exact &= b"".join([self.side.bytes[i] for i in found]) == word.encode()
+            ids = packed(found)
+        if len(word) <= 64:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
+
+class ByteLevel(Side):
+    """Side A: a byte-level tokenizer file."""
 
     def __init__(self, spec: str) -> None:
-        self.encoder = encoder(spec)
+        self.encoder = Encoder(spec)
         alphabet = byte_alphabet()
         vocabulary = self.encoder.tokenizer.get_vocab(with_added_tokens=True)
         self.bytes = [b""] * (max(vocabulary.values()) + 1)
         for entry, number in vocabulary.items():
             self.bytes[number] = b"".join(bytes([alphabet[c]]) if c in alphabet else c.encode() for c in entry)
+        self.encoder.words = Words(self, lambda word: self.encoder.tokenizer.encode(word, add_special_tokens=False).ids)
 
-    def joined(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, ids))
+    def encode(self, whole: str) -> tuple[bytes, bool]:
+        return self.encoder.encode(whole), self.encoder.cuts(whole) and not self.encoder.lowers
 
-    def ids(self, text: str) -> list[int]:
-        return np.frombuffer(self.encoder.encode(text), "<u4").tolist()
 
-
-class Pieces:
+class Pieces(Side):
     """Side B: a sentencepiece model. It puts a space before the text.
 
     If no piece of the model has a mark after another character, words never share a piece, so each word with the
@@ -75,41 +116,29 @@ class Pieces:
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.bytes = [bytes([int(n[3:5], 16)]) if self.model.is_byte(i) else n.replace(MARK, " ").encode() for i, n in enumerate(names)]
         probe = "  a  \ufb01b "  # a model that rewrites texts would change it
-        self.by_word = not any(re.search(f"[^{MARK}]{MARK}", n) for n in names) and self.joined(self.model.encode(probe)) == f" {probe}".encode()
-        self.space = self.model.piece_to_id(MARK)
-        self.words: dict[str, list[int]] = {}
-
-    def joined(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, ids))
+        self.by_word = not any(re.search(f"[^{MARK}]{MARK}", n) for n in names) and self.joined(packed(self.model.encode(probe))) == f" {probe}".encode()
+        self.space = [self.model.piece_to_id(MARK)]
+        self.words = Words(self, self.word)
 
-    def segment(self, word: str) -> list[int]:
+    def word(self, word: str) -> list[int]:
         """Ids of spaces and the word after them; the model adds the first space itself."""
-        return [self.space] if word == " " else self.model.encode(word[1:], num_threads=1)
-
-    def ids(self, text: str) -> list[int]:
-        if not self.by_word or MARK in text or not text:
-            return self.model.encode(text, num_threads=1)
-        out: list[int] = []
-        for word in _SEGMENT.findall(" " + text):
-            found = self.words.get(word)
-            if found is None:
-                found = self.segment(word)
-                if len(word) <= 64:
-                    if len(self.words) >= REMEMBERED:
-                        self.words.clear()
-                    self.words[word] = found
-            out += found
-        return out
+        return self.space if word == " " else self.model.encode(word[1:], num_threads=1)
+
+    def encode(self, whole: str) -> tuple[bytes, bool]:
+        if not self.by_word or MARK in whole or whole == " ":
+            return packed(self.model.encode(whole[1:], num_threads=1)), False
+        return b"".join(map(self.words.__getitem__, _SEGMENT.findall(whole))), True
 
 
 class Merged:
     """Links and cuts of a batch: ``lane_doc`` and ``pair`` by link, and for each token whether a cut follows it."""
 
-    def __init__(self, a: list[list[int]], b: list[list[int]], a_sizes: np.ndarray, b_sizes: np.ndarray, lane: int = LANE) -> None:
-        self.a, self.b = (np.fromiter((i for ids in side for i in ids), np.int64) for side in (a, b))
+    def __init__(self, a: list[bytes], b: list[bytes], a_sizes: np.ndarray, b_sizes: np.ndarray, lane: int = LANE) -> None:
+        """Packed ids of each document, and the bytes of each id."""
+        self.a, self.b = (np.frombuffer(b"".join(side), "<u4").astype(np.int64) for side in (a, b))
         # Offsets run on over the documents, whose bytes are equally many on both sides, so ends of two never meet.
         ends, ends_b = np.cumsum(a_sizes[self.a]), np.cumsum(b_sizes[self.b])
-        self.first_a, self.first_b = (np.cumsum([0, *map(len, side)]) for side in (a, b))
+        self.first_a, self.first_b = (np.cumsum([0, *(len(ids) // 4 for ids in side)]) for side in (a, b))
         self.ends, self.cut_a, self.cut_b = ends, np.zeros(len(self.a), bool), np.zeros(len(self.b), bool)
         lanes = [(at, min(at + lane, stop), doc) for doc, (begin, stop) in enumerate(zip(self.first_a, self.first_a[1:]))
                  for at in range(begin, stop, lane)]
@@ -159,13 +188,12 @@ class Aligner:
         ends = [(self.a.bytes, ",|"), (self.b.bytes, ",;")]
         self.strings = np.array([f"{i}{end}" for side, marks in ends for end in marks for i in range(len(side))], object)
 
-    def tokens(self, text: str | None) -> tuple[list[int], list[int]]:
-        """Ids on both sides; none if the text is empty or the bytes of a side are not those of the text."""
+    def tokens(self, text: str | None) -> tuple[bytes, bytes]:
+        """Packed ids on both sides; none if the text is empty or the bytes of a side are not those of the text."""
         if not text:
-            return [], []
-        whole = " " + text
-        a, b, wanted = self.a.ids(whole), self.b.ids(text), whole.encode()
-        return (a, b) if self.a.joined(a) == wanted == self.b.joined(b) else ([], [])
+            return b"", b""
+        a, b = self.a.ids(" " + text), self.b.ids(" " + text)
+        return (b"", b"") if a is None or b is None else (a, b)
 
     def rows(self, texts: list[str | None], lane: int = LANE) -> list[pa.Array]:
         """The columns PAIRS for a batch of texts."""
@@ -180,29 +208,9 @@ class Aligner:
                 pa.ListArray.from_arrays(offsets, pa.array(pairs)), pa.ListArray.from_arrays(offsets, pa.array(times))]
 
 
-_LOADED: dict[int, Aligner] = {}
-
-
 def aligner(spec: str, model: bytes) -> Aligner:
     """The worker's aligner; kept, as its words are worth more than its files."""
-    key = hash((spec, model))
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Aligner(spec, model)
-    return _LOADED[key]
-
-
-def parts_of(batch: pa.RecordBatch, most_bytes: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of about so many bytes of the last column, texts; one longer text is a slice of its own."""
-    sizes = np.diff(np.frombuffer(batch.column(batch.num_columns - 1).cast(pa.large_string()).buffers()[1], np.int64)[:batch.num_rows + 1])
-    at, held = 0, 0
-    for i, size in enumerate(sizes):
-        if held and held + size > most_bytes:
-            yield batch.slice(at, i - at)
-            at, held = i, 0
-        held += int(size)
-    if at < batch.num_rows:
-        yield batch.slice(at)
+    return held(("aligner", hash((spec, model))), lambda: Aligner(spec, model))
 
 
 def alignments(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
@@ -219,7 +227,7 @@ def alignments(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = aligner(spec, model)
         for batch in batches:
-            for part in parts_of(batch):
+            for part in by_bytes(batch, 2, MERGED_BYTES, most_rows=10_000):
                 yield pa.RecordBatch.from_arrays([*part.columns[:2], *known.rows(part.column(2).to_pylist())], names=names)
 
     names = ["row", "doc_id", *(c.split()[0] for c in PAIRS.split(", "))]

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchline.llm.workers import by_bytes, held
+
 WORD = re.compile(r"[^\W\d_]+")
 MARK = "▁"  # begins a word in the vocabulary
 UNKNOWN = "und"
@@ -186,11 +188,11 @@ def train(docs: DataFrame, pieces: list[str], rounds: int = 1, smoothing: float
         known = {name: logs[:, i] for i, name in enumerate(languages)}
 
         def count(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
+            held("language")
             words: dict[str, Counter] = defaultdict(Counter)
             totals: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(trie.n))
             for batch in batches:
-                for at in range(0, batch.num_rows, 500):
-                    part = batch.slice(at, 500)
+                for part in by_bytes(batch, 1):
                     for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                         words[lang].update(WORD.findall(text.lower()))
                     if sum(map(len, words.values())) > REMEMBERED:
@@ -231,18 +233,20 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """
     keep = [c for c in keep if c not in ("lang_pred", "score")]
     fields = [docs.schema[c] for c in keep]
+    sent = keep if "text" in keep else [*keep, "text"]  # a text goes to the worker once
+    at, n = sent.index("text"), len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("language")
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                found = list(model.predict(part.column(part.num_columns - 1).to_pylist()))
+            for part in by_bytes(batch, at):
+                found = list(model.predict(part.column(at).to_pylist()))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
+                    [*part.columns[:n], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                     names=[*keep, "lang_pred", "score"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "lang_pred string, score double"])
-    return docs.select(*keep, F.col("text").alias("text of the row")).mapInArrow(run, schema)
+    return docs.select(*sent).mapInArrow(run, schema)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm.components import components
 from touchline.llm.shingles import fingerprint, shingle_set
+from touchline.llm.workers import by_bytes
 from touchline.session import stage
 
 #: Similar sets share so many of their first n-grams (or all that must be common, if fewer).
@@ -58,8 +59,8 @@ def needed(n: Column, percent: int) -> Column:
 def texts_of(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[tuple, np.ndarray]]:
     """The other columns of each row, and the n-grams of its text, which comes first."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            texts, *others = (c.to_pylist() for c in batch.slice(at, 500).columns)
+        for part in by_bytes(batch, 0):
+            texts, *others = (c.to_pylist() for c in part.columns)
             for i, text in enumerate(texts):
                 yield tuple(c[i] for c in others), shingle_set(text, n)
 
@@ -83,21 +84,21 @@ def read_sets(docs: DataFrame, n: int) -> DataFrame:
                        ("slice", pa.int32()), ("counts", pa.binary())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, waiting, held, out = np.zeros(1 << BITS, np.int64), [], 0, []
+        counts, waiting, waits, out = np.zeros(1 << BITS, np.uint32), [], 0, []
 
         def add():
             if waiting:
-                places = np.concatenate(waiting) >> np.uint64(64 - BITS)
-                counts[:] += np.bincount(places.astype(np.int64), minlength=len(counts))
+                places, times = np.unique((np.concatenate(waiting) >> np.uint64(64 - BITS)).astype(np.uint32), return_counts=True)
+                counts[places] += times.astype(np.uint32)
                 waiting.clear()
 
         for (doc_id, key), found in texts_of(batches, n):
             out.append({"doc_id": doc_id, "key": key, "fp": fingerprint(found) if len(found) else None, "n_shingles": len(found), "mark": mark_of(found)})
             waiting.append(found)
-            held += len(found)
-            if held >= 2_000_000:
+            waits += len(found)
+            if waits >= 500_000:
                 add()
-                held = 0
+                waits = 0
             if len(out) == 5_000:
                 yield pa.RecordBatch.from_pylist(out, schema=kinds)
                 out = []

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.tokens import encoder, read_spec
+from touchline.llm.workers import by_bytes
 from touchline.session import stage
 
 PIECES = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long, task int, rank long"
@@ -76,8 +77,8 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, with
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen, task = encoder(spec), Counter(), TaskContext.get().partitionId()
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part, rows = batch.slice(at, 200), []
+            for part in by_bytes(batch, 1):
+                rows = []
                 for doc_id, ids in zip(part.column(0).to_pylist(), known.with_end(part.column(1).to_pylist(), end_id), strict=True):
                     for start in range(0, len(ids), 4 * capacity):
                         piece = ids[start:start + 4 * capacity]

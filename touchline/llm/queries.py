@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.llm import alignment, decontamination, exact_dedup, language, ngram_join, oracles, packing, prefix_trie, quality, secret_scan, token_files, toxicity, urls, warc
+from touchline.llm.workers import small_batches
 from touchline.session import pin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,7 @@ def query(sql: str | None = None):
     def register(build: Callable[[Callable[[str], DataFrame]], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
             pin(spark)
+            small_batches(spark)
             return build(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
 
         QUERIES[build.__name__] = run

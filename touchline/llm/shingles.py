@@ -5,7 +5,9 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-#: Words a worker remembers with their hashes; beyond that it starts anew.
+from touchline.llm.workers import held
+
+#: Words a worker remembers with their hashes (160 bytes or so each); beyond that it starts anew.
 REMEMBERED = 400_000
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]  # the constants of splitmix64
 
@@ -13,15 +15,13 @@ _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049B
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         number = xxhash.xxh64_intdigest(word)
-        if len(word) <= 64:
+        if len(word) <= 32:
             if len(self) >= REMEMBERED:
                 self.clear()
             self[word] = number
         return number
 
 
-_WORDS = WordHashes()
-
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """The finishing step of splitmix64, which makes every bit depend on every bit."""
@@ -40,7 +40,7 @@ def shingle_set(text: str | None, n: int) -> np.ndarray:
     words = words_of(text)
     if not words:
         return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    hashes = np.fromiter(map(held("shingles", WordHashes).__getitem__, words), np.uint64, len(words))
     width = min(n, len(hashes))
     total = np.full(len(hashes) - width + 1, width, np.uint64)
     for i in range(width):

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from touchline.llm.files import attempt_name, located, new_folder
 from touchline.llm.tokens import encoder, read_spec
+from touchline.llm.workers import by_bytes
 from touchline.session import stage
 
 BATCH = 256
@@ -131,8 +132,7 @@ def write_sequences(docs: DataFrame, tokenizer: str, length: int = 2048, end_id:
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, known = None, encoder(spec)
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
+            for part in by_bytes(batch, 1):
                 for doc_id, ids in zip(part.column(0).to_pylist(), known.with_end(part.column(1).to_pylist(), end_id), strict=True):
                     made = made or ShardWriter(folder, TaskContext.get().partitionId(), length, pa.uint32() if wide else pa.uint16())
                     made.add(doc_id, np.frombuffer(ids, "<u4"))

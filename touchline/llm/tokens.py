@@ -9,6 +9,8 @@ import sys
 from array import array
 from collections.abc import Iterable, Iterator
 
+from touchline.llm.workers import held
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 # Characters whose class (letter, number, space or other) is the same in every Unicode version and whose lower case is
@@ -70,10 +72,14 @@ class Encoder:
         self.words = Words(self.tokenizer)
         self.cut, self.lowers = cut_of(json.loads(spec))
 
+    def cuts(self, text: str) -> bool:
+        """Whether the text is encoded word by word."""
+        return self.cut is not None and _KNOWN.fullmatch(text) is not None
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if self.cut is None or not _KNOWN.fullmatch(text):
+        if not self.cuts(text):
             return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
         return b"".join(map(self.words.__getitem__, self.cut.findall(text.lower() if self.lowers else text)))
 
@@ -97,16 +103,9 @@ def cut_of(spec: dict) -> tuple[re.Pattern | None, bool]:
     return None, False
 
 
-_LOADED: dict[int, Encoder] = {}
-
-
 def encoder(spec: str) -> Encoder:
     """The worker's encoder for a tokenizer file; kept, as its words are worth more than the file."""
-    key = hash(spec)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Encoder(spec)
-    return _LOADED[key]
+    return held(("encoder", hash(spec)), lambda: Encoder(spec))
 
 
 def read_spec(path: str) -> str:

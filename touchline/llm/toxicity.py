@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchline.llm.workers import by_bytes
 from touchline.session import stage
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -63,7 +64,8 @@ def maximal(hits: list[tuple[int, float]], drift: float) -> list[tuple[int, int,
     ``hits`` are (place, score) by place; every place between two hits scores ``-drift``. Only hits above 0 can begin a
     segment, and only they can end one.
     """
-    stack: list[tuple[int, int, float, float]] = []  # first, last, total before, total after
+    done: list[tuple[int, int, float, float]] = []  # first, last, total before, total after
+    stack: list[tuple[tuple[int, int, float, float], int]] = []  # candidates, each with the nearest one that begins lower
     total, previous = 0.0, None
     for place, score in hits:
         if previous is not None:
@@ -76,13 +78,21 @@ def maximal(hits: list[tuple[int, float]], drift: float) -> list[tuple[int, int,
         total += score
         while True:
             # The nearest earlier segment that begins lower; a candidate absorbs back to it if it ends lower too.
-            at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][2] < current[2]), None)
-            if at is None or stack[at][3] >= current[3]:
-                stack.append(current)
+            # Those between a segment and the one it names begin no lower, so names are followed over them.
+            at = len(stack) - 1
+            while at >= 0 and stack[at][0][2] >= current[2]:
+                at = stack[at][1]
+            if at < 0:  # nothing that comes can absorb what began higher
+                done += [s for s, _ in stack]
+                stack = [(current, -1)]
                 break
-            current = (stack[at][0], current[1], stack[at][2], current[3])
+            lower = stack[at][0]
+            if lower[3] >= current[3]:
+                stack.append((current, at))
+                break
+            current = (lower[0], current[1], lower[2], current[3])
             del stack[at:]
-    return [(a, b, after - before) for a, b, before, after in stack]
+    return [(a, b, after - before) for a, b, before, after in [*done, *(s for s, _ in stack)]]
 
 
 def sampled_labels(labels: DataFrame, max_labels: int) -> DataFrame:
@@ -112,13 +122,12 @@ def train(docs: DataFrame, labels: DataFrame, max_labels: int = 100_000, prior:
             for side in sides.values():
                 side.clear()
 
-        for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = set(WORD.findall(text.lower()))
-                sides[toxic].update(words)
-                sides[toxic].update({WORDS: len(words), TEXTS: 1})
-                if sum(map(len, sides.values())) > 300_000:
-                    yield from out()
+        for text, toxic in (row for batch in batches for part in by_bytes(batch, 0) for row in zip(*(c.to_pylist() for c in part.columns), strict=True)):
+            words = set(WORD.findall(text.lower()))
+            sides[toxic].update(words)
+            sides[toxic].update({WORDS: len(words), TEXTS: 1})
+            if sum(map(len, sides.values())) > 300_000:
+                yield from out()
         yield from out()
 
     counts = stage(rows.mapInArrow(count, "word string, toxic long, other long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")))
@@ -196,8 +205,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for part in by_bytes(batch, 1):
                 found = [model.segments(t)[1] for t in part.column(1).to_pylist()]
                 yield pa.record_batch([
                     part.column(0), pa.array([model.probability(model.evidence(s)) for s in found], pa.float64()),
