@@ -15,10 +15,11 @@ from touchline.operators.attribution import credited_again, typed_conversions
 from touchline.operators.ids import last_id
 from touchline.operators.mirror import Mirror, mirror
 from touchline.plans import mirrors
-from touchline.schemas import CALL_FEEDBACK, CONVERSIONS, HISTORY, HISTORY_KEYS, OFFERS_IN
+from touchline.schemas import CALL_FEEDBACK, CONVERSIONS, HISTORY, HISTORY_KEYS, OFFER_FILE, OFFERS_IN
 from touchline.session import staged
 from touchline.sinks import handoff
 from touchline.sinks import partitions as sink
+from touchline.sources.delivered import read_delivery
 from touchline.sources.files import read_csv, read_export, read_pages
 from touchline.sources.tables import file_or_slice, optional, scan, slice_between, slice_eq, slice_from
 
@@ -238,6 +239,15 @@ def archive_conversions(spark: SparkSession, path: str, root: str, run: RunTime)
     sink.write_partitions(rows, root, ["month", "day", "hour"], gather=False)
 
 
-def typed_offer_files(spark: SparkSession, folder: str, day: dt.date) -> DataFrame:
-    """All offer files of a day, typed."""
-    return offers.offer_file_typing(read_csv(spark, folder, name_glob=f"*{day:%Y%m%d}*.csv"))
+def typed_offer_files(
+    spark: SparkSession, folder: str, day: dt.date, refused: str | None = None, run: RunTime | None = None
+) -> DataFrame:
+    """All offer files of a day, typed; columns are found by each file's own header.
+
+    Rows that do not fit are stored in the table ``refused`` under the run's keys, as they came; running again replaces
+    them.
+    """
+    found = read_delivery(spark, folder, OFFER_FILE, name_glob=f"*{day:%Y%m%d}*.csv")
+    if refused is not None:
+        sink.write_partitions(stamp(found.refused, run or day, "hour"), refused, ARRIVAL_KEYS, gather=False)
+    return found.rows.drop("file_name")

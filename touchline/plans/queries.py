@@ -18,7 +18,9 @@ from touchline.operators.mirror import Mirror, mirror, replaced_range, replaced_
 from touchline.plans.registry import query
 from touchline.plans.views import RUN_DAY, Tables
 from touchline.schemas import FEEDS
+from touchline.session import new_path
 from touchline.sources import tables as S
+from touchline.sources.delivered import read_delivery
 
 RUN = dt.datetime(1999, 6, 30, 10, 20, 30)
 STAMP = "'199906' AS month, '19990630' AS day"
@@ -808,3 +810,38 @@ def row_count(t: Tables) -> DataFrame:
 @query("SELECT * FROM orders ORDER BY o_orderkey LIMIT 3")
 def limit_preview(t: Tables) -> DataFrame:
     return t.orders.orderBy("o_orderkey").limit(3)
+
+
+# --- delivered files -------------------------------------------------------------------------------------
+
+def delivered(t: Tables):
+    """Orders as a partner delivers them: three headers, torn rows, and totals that are no numbers."""
+    key, cust, total = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), F.floor("o_totalprice").cast("string")
+    total = F.when(F.col("o_orderkey") % 89 == 0, F.lit("n/a")).otherwise(total)
+    lines = {
+        "o_orderkey,o_custkey,o_totalprice": F.concat_ws(",", key, cust, total),
+        "O_TOTALPRICE,remark,O_ORDERKEY,O_CUSTKEY": F.concat_ws(",", total, F.lit("r"), key, cust),
+        "o_custkey,o_orderkey": F.concat_ws(",", cust, key),
+    }
+    folders = []
+    for i, (header, line) in enumerate(lines.items()):
+        torn = F.when(F.col("o_orderkey") % 97 == 0, F.concat(F.lit("torn"), key)).otherwise(line)
+        folders.append(new_path(t.spark))
+        rows = t.orders.where(F.col("o_orderkey") % 3 == i).select(torn.alias(header))
+        rows.write.option("header", True).option("sep", "\t").option("quote", "").option("ignoreTrailingWhiteSpace", False).csv(folders[-1])
+    return read_delivery(t.spark, folders, "o_orderkey int, o_custkey int, o_totalprice long")
+
+
+@query("""SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 3 < 2 THEN CAST(floor(o_totalprice) AS BIGINT) END AS o_totalprice
+          FROM orders WHERE o_orderkey % 97 <> 0 AND (o_orderkey % 3 = 2 OR o_orderkey % 89 <> 0)""")
+def delivered_rows_by_header(t: Tables) -> DataFrame:
+    return delivered(t).rows.drop("file_name")
+
+
+@query("""SELECT CASE WHEN o_orderkey % 97 = 0 THEN 'torn' ELSE 'type: o_totalprice' END AS reason,
+                 CASE WHEN o_orderkey % 97 = 0 THEN 'torn' || o_orderkey
+                      WHEN o_orderkey % 3 = 0 THEN o_orderkey || ',' || o_custkey || ',n/a'
+                      ELSE 'n/a,r,' || o_orderkey || ',' || o_custkey END AS record
+          FROM orders WHERE o_orderkey % 97 = 0 OR (o_orderkey % 3 < 2 AND o_orderkey % 89 = 0)""")
+def delivered_rows_refused(t: Tables) -> DataFrame:
+    return delivered(t).refused.drop("file_name")
