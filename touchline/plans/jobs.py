@@ -3,22 +3,24 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from touchline.functions.columns import conform, stamp
+from touchline.functions.columns import conform, read_ddl, stamp
 from touchline.functions.dates import RunTime, parse_date, trailing_days
 from touchline.operators import audience, compose, feeds, offers, status
-from touchline.operators.attribution import credited_again, typed_conversions
+from touchline.operators.attribution import account_bitmaps, best_channels, credited_again, touched_partitions, typed_conversions
 from touchline.operators.ids import last_id
 from touchline.operators.mirror import Mirror, mirror
 from touchline.plans import mirrors
-from touchline.schemas import CALL_FEEDBACK, CONVERSIONS, HISTORY, HISTORY_KEYS, OFFER_FILE, OFFERS_IN
+from touchline.schemas import CALL_FEEDBACK, CHANNEL_WEIGHTS, CONVERSIONS, HISTORY, HISTORY_KEYS, OFFER_FILE, OFFERS_IN
 from touchline.session import staged
 from touchline.sinks import handoff
 from touchline.sinks import partitions as sink
+from touchline.sinks.versions import Table
 from touchline.sources.delivered import read_delivery
 from touchline.sources.files import read_csv, read_export, read_pages
 from touchline.sources.tables import file_or_slice, optional, scan, slice_between, slice_eq, slice_from
@@ -156,6 +158,39 @@ def attribute(
     sink.publish(rows, history_root, HISTORY_KEYS, aside)
 
 
+def history_table(spark: SparkSession, root: str, schema: str | T.StructType = HISTORY, keys: Sequence[str] = HISTORY_KEYS) -> Table:
+    """The communications history as a table of versions, with the account bitmaps of its partitions."""
+    rows = T.StructType([f for f in read_ddl(schema).fields if f.name not in keys])
+    return Table(spark, root, keys, {"rows": rows, "accounts": "bucket long, bits binary"})
+
+
+def store_history(table: Table, rows: DataFrame, replaced: Sequence[tuple] | None = None, since: int | None = None) -> int:
+    """Make ``rows`` the table's, in place of the partitions ``replaced``, or of the whole table without it."""
+    with staged(rows) as kept:
+        return table.commit(replaced, since, rows=kept, accounts=account_bitmaps(kept, table.keys))
+
+
+def attribute_changed(table: Table, conversions: DataFrame, weights: Mapping[str, int] = CHANNEL_WEIGHTS) -> list[tuple]:
+    """Credit conversions in the partitions they concern; returns these.
+
+    ``conversions`` are typed. Read and rewritten are the partitions that hold an account of a conversion, or rows that an
+    earlier run paired and did not credit; of the others one column is read, for the best channel of each account. All
+    rows of these accounts come out as :func:`credited_again` over the whole history gives them. Other rows of other
+    partitions stay as they are; there an uncredited flag may be NULL where the whole run would write false.
+
+    Readers see the table before the run or after it. A run that found its commit overtaken changes nothing.
+    """
+    since = table.last()
+    partitions = [tuple(row) for row in touched_partitions(table.read("accounts", number=since), table.keys, conversions).collect()]
+    if not partitions:
+        return []
+    rows = table.read("rows", partitions, since)
+    reached = table.read("rows", number=since).select("account_id", "channel")
+    best = best_channels(reached.join(rows.select("account_id").distinct(), "account_id", "left_semi"), weights)
+    store_history(table, credited_again(rows, conversions, weights=weights, best=best), partitions, since)
+    return sorted(partitions, key=repr)
+
+
 # --- offers ----------------------------------------------------------------------------------------------
 
 def load_offers(spark: SparkSession, path: str, root: str, run: RunTime) -> None:

@@ -15,6 +15,7 @@ from touchline.operators.attribution import attribute_conversions, credited_agai
 from touchline.operators.ids import dense_ids, last_id
 from touchline.operators.joins import lookup_join, spread_join
 from touchline.operators.mirror import Mirror, mirror, replaced_range, replaced_slice
+from touchline.plans import jobs
 from touchline.plans.registry import query
 from touchline.plans.views import RUN_DAY, Tables
 from touchline.schemas import FEEDS
@@ -630,6 +631,28 @@ def attribute_conversions_again(t: Tables) -> DataFrame:
     return credited_again(attribute_conversions(t.contact_history, found, WEIGHTS), found, weights=WEIGHTS)
 
 
+CHANGED = ATTRIBUTED.replace("FROM contact_history)", "FROM parted)").replace("JOIN conversions c ON", "JOIN asked c ON")
+
+
+@query(f"""
+    , parted AS (SELECT *, strftime(contact_dt, '%Y%m') AS month FROM contact_history),
+    asked AS (SELECT * FROM conversions WHERE account_id LIKE 'ACC_1%7'),
+    touched AS (SELECT DISTINCT month, channel FROM parted WHERE account_id IN (SELECT account_id FROM asked)),
+    credited AS (WITH nothing AS (SELECT 1) {CHANGED}),
+    told AS (SELECT c.*, p.month FROM credited c JOIN parted p USING (comm_id))
+    SELECT * FROM told SEMI JOIN touched USING (month, channel)
+    UNION ALL BY NAME
+    SELECT comm_id, account_id, channel, campaign_name, contact_dt, conv_flg, conv_use_case_cat, order_id, conversion_dt,
+           conversion_type, month FROM parted ANTI JOIN touched USING (month, channel)""", "contact_history", "conversions")
+def attribute_changed_partitions(t: Tables) -> DataFrame:
+    """Conversions of a few accounts, credited in a table of versions: the whole table as it then is."""
+    history = t.contact_history.withColumn("month", F.date_format("contact_dt", "yyyyMM"))
+    table = jobs.history_table(t.spark, new_path(t.spark), history.schema, ("month", "channel"))
+    jobs.store_history(table, history)
+    jobs.attribute_changed(table, typed_conversions(t.conversions).where("account_id LIKE 'ACC_1%7'"), WEIGHTS)
+    return table.read("rows")
+
+
 @query("""
     SELECT o_orderkey, o_orderdate AS slashed, o_orderdate AS dashed,
            CASE WHEN day(o_orderdate) <= 12 THEN make_timestamp(year(o_orderdate), day(o_orderdate), month(o_orderdate), 0, 0, 0)
