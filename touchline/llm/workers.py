@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Hashable, Iterator
 from typing import Any
 
@@ -25,10 +26,18 @@ def held(key: Hashable, make: Callable[[], Any] | None = None) -> Any:
         if _HELD:
             _HELD.clear()
             pa.default_memory_pool().release_unused()
+            give_back()
         _HELD[key] = make() if make else None
     return _HELD[key]
 
 
+def give_back() -> None:
+    """Return freed memory to the system, where the C library has a call for it."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def small_batches(spark) -> None:
     """Bound the batches Spark sends to workers by bytes: texts have any length."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
