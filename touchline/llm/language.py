@@ -22,7 +22,7 @@ WORD = re.compile(r"[^\W\d_]+")
 MARK = "▁"  # begins a word in the vocabulary
 UNKNOWN = "und"
 #: Words a worker remembers with their scores; beyond that it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 SHIFT = 21  # bits of a code point
 
 
@@ -129,7 +129,7 @@ def sums(start, end, piece, rounds, logs: np.ndarray, size: int) -> np.ndarray:
     return alpha
 
 
-def in_parts(words: list[str], chars: int = 200_000) -> Iterator[slice]:
+def in_parts(words: list[str], chars: int = 40_000) -> Iterator[slice]:
     """Slices of ``words`` of about so many characters; sort them by length for few rounds."""
     at, held = 0, 0
     for i, w in enumerate(words):

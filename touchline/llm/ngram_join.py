@@ -65,7 +65,7 @@ def texts_of(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[tuple,
                 yield tuple(c[i] for c in others), shingle_set(text, n)
 
 
-def once(sets: Iterator[tuple[tuple, np.ndarray]], most: int = 1_000_000) -> Iterator[tuple[int, np.ndarray]]:
+def once(sets: Iterator[tuple[tuple, np.ndarray]], most: int = 200_000) -> Iterator[tuple[int, np.ndarray]]:
     """Sets with their fingerprints, without empty ones and most repetitions."""
     seen: set[int] = set()
     for _, found in sets:
@@ -103,11 +103,12 @@ def read_sets(docs: DataFrame, n: int) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(out, schema=kinds)
                 out = []
         add()
-        if counts.any():
-            parts = np.minimum(counts, 65535).astype("<u2").reshape(SLICES, -1)
-            out += [{"slice": i, "counts": p.tobytes()} for i, p in enumerate(parts)]
         if out:
             yield pa.RecordBatch.from_pylist(out, schema=kinds)
+        if counts.any():
+            for i, part in enumerate(counts.reshape(SLICES, -1)):
+                row = {"slice": i, "counts": np.minimum(part, 65535).astype("<u2").tobytes()}
+                yield pa.RecordBatch.from_pylist([row], schema=kinds)
 
     return stage(docs.mapInArrow(rows, "doc_id long, key long, fp long, n_shingles long, mark array<long>, slice int, counts binary"))
 
