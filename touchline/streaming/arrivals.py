@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.functions.columns import read_ddl
+from touchline.functions.columns import quoted, read_ddl
 from touchline.functions.names import compact_date
 from touchline.sinks.partitions import append_batch
 
@@ -30,6 +30,20 @@ def stamped_by_name(df: DataFrame) -> DataFrame:
     return df.withColumns({"month": F.substring(day, 1, 6), "day": day})
 
 
+def once_within(stream: DataFrame, time: str, delay: str, ignore: Sequence[str] = ("file_name",)) -> DataFrame:
+    """Rows of a stream, each once however often it is delivered within ``delay`` of event time.
+
+    Rows are the same if all columns but ``ignore`` are, as in a file that comes again under another name; they are known
+    by two 64-bit hashes. State holds the hashes of rows whose ``time`` (a timestamp) is not yet ``delay`` behind the
+    newest, and no more, so a copy that comes later than that is taken for a new row. Rows without ``time`` would never
+    leave the state, so they are left out here; a batch load takes them.
+    """
+    row = F.to_json(F.struct(*[quoted(c) for c in stream.columns if c not in ignore]), {"ignoreNullFields": "false"})
+    marked = stream.where(quoted(time).isNotNull()).withColumns({"_hash": F.xxhash64(row), "_other": F.xxhash64(F.lit(1), row)})
+    timed = marked.withWatermark(time, delay).dropDuplicatesWithinWatermark(["_hash", "_other"])
+    return timed.drop("_hash", "_other")
+
+
 def ingest_arrivals(
     stream: DataFrame, root: str, keys: Sequence[str], checkpoint: str, name: str,
     transform: Callable[[DataFrame], DataFrame] = stamped_by_name,
