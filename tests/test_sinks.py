@@ -162,3 +162,26 @@ def test_stage_uses_the_folder_the_session_names(spark, frame):
     copy = stage(frame("id int", (1,), (2,)))
     assert rows_of(copy) == [(1,), (2,)]
     assert all(folder in f for f in copy.inputFiles())
+
+
+def test_many_partitions_are_emptied_without_a_job_each(spark, root):
+    rows = spark.range(520).selectExpr("id", "lpad(id, 4, '0') AS day")
+    sink.write_partitions(rows, root, ["day"], gather=False)
+    tracker, group = spark.sparkContext.statusTracker(), "emptied"
+    spark.sparkContext.setJobGroup(group, "emptying 500 partitions")
+    try:
+        sink.replace_range(rows.where("id = 3"), root, "day", "0000", "0499")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tracker.getJobIdsForGroup(group)) < 20
+    assert rows_of(spark.read.parquet(root), "id") == sorted([(3,), *((i,) for i in range(500, 520))], key=repr)
+
+
+def test_a_batch_reads_the_folders_it_touches(spark, frame, root):
+    ddl = "id int, name string, day string"
+    sink.write_partitions(frame(ddl, *[(i, "other", f"{i:03d}") for i in range(40)], (100, "mine", "007")), root, ["day"])
+    sink.merge_batch(frame(ddl, (101, "mine", "009")), root, ["day"], "name", "mine")
+    got = rows_of(spark.read.schema(ddl).parquet(root), "id")
+    assert got == sorted([*((i,) for i in range(40)), (101,)], key=repr)
+    plan = sink._read_partitions(spark, root, ["day"], spark.read.schema(ddl).parquet(root).schema, [("007",), ("009",)])
+    assert {f.split("day=")[1][:3] for f in plan.inputFiles()} == {"007", "009"}

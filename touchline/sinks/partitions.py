@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.session import stage, staged
+from touchline.sinks.folders import Folder
 from touchline.sources.tables import optional
 
 
@@ -47,21 +48,31 @@ def partition_folder(root: str, keys: Sequence[str], values: Sequence[object]) -
 def replace_where(df: DataFrame, root: str, keys: Sequence[str], where: Column) -> None:
     """Replace what ``where`` (a predicate on the partition keys) selects in ``root`` by ``df``.
 
-    Partitions with new rows are overwritten; selected ones without become empty. The list of partitions to
-    empty comes from partition values alone, no data column is read for it.
+    Partitions with new rows are overwritten by one write; selected ones without are removed, however many, without a
+    Spark job of their own. The list of selected partitions comes from partition values alone, no data column is read
+    for it.
     """
     spark = df.sparkSession
-    keys = list(keys)
     with staged(df) as rows:
         if not rows.where(~F.coalesce(where, F.lit(False))).isEmpty():
             raise ValueError("new rows lie outside the range to replace")
         old = _stored(spark, root, df.schema).where(where).select(*keys).distinct().collect()
-        fresh = {tuple(row) for row in rows.select(*keys).distinct().collect()}
-        write_partitions(rows, root, keys)
-    nothing = spark.createDataFrame([], df.drop(*keys).schema)
-    for values in (tuple(row) for row in old):
-        if values not in fresh:
-            nothing.write.mode("overwrite").parquet(partition_folder(root, keys, values))
+        _replace(rows, root, list(keys), [tuple(row) for row in old])
+
+
+def _replace(rows: DataFrame, root: str, keys: list[str], selected: Sequence[tuple]) -> None:
+    """Overwrite the partitions of the staged ``rows`` and empty the other ``selected`` ones."""
+    fresh = {tuple(row) for row in rows.select(*keys).distinct().collect()}
+    write_partitions(rows, root, keys)
+    gone = [values for values in selected if values not in fresh]
+    if not gone:
+        return
+    # An empty file goes to the first of them, so that a table left without any row can still be read.
+    nothing = rows.sparkSession.createDataFrame([], rows.drop(*keys).schema)
+    nothing.write.mode("overwrite").parquet(partition_folder(root, keys, gone[0]))
+    folder = Folder(rows.sparkSession, root)
+    for values in gone[1:]:
+        folder.delete(partition_folder(root, keys, values))
 
 
 def replace_slice(df: DataFrame, root: str, key: str, value: object) -> None:
@@ -102,15 +113,19 @@ def merge_batch(
         earlier = earlier.where(scope)
     with staged(df) as new:
         # partition values only, as many as the batch has days
-        touched = earlier.select(*keys).union(new.select(*keys)).distinct().collect()
-        here = F.lit(False)
-        for values in touched:
-            same = F.lit(True)
-            for key, value in zip(keys, values):
-                same = same & F.col(key).eqNullSafe(F.lit(value))
-            here = here | same
-        others = stored.where(here & ~F.col(batch_column).eqNullSafe(F.lit(batch)))
-        replace_where(others.unionByName(new), root, keys, here)
+        touched = [tuple(row) for row in earlier.select(*keys).union(new.select(*keys)).distinct().collect()]
+        others = _read_partitions(spark, root, keys, df.schema, touched).where(~F.col(batch_column).eqNullSafe(F.lit(batch)))
+        with staged(others.unionByName(new)) as rows:
+            _replace(rows, root, keys, touched)
+
+
+def _read_partitions(spark: SparkSession, root: str, keys: Sequence[str], schema, values: Sequence[tuple]) -> DataFrame:
+    """The rows of some partitions, read from their folders alone."""
+    folder = Folder(spark, root)
+    there = [f for f in (partition_folder(root, keys, v) for v in values) if folder.has(f)]
+    if not there:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", root).parquet(*there)
 
 
 def append(df: DataFrame, root: str, keys: Sequence[str] = ()) -> None:

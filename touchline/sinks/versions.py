@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from touchline.functions.columns import read_ddl
+from touchline.sinks.folders import Folder
 from touchline.sinks.partitions import balanced, partition_folder
 
 COMMITS, VERSIONS = "_commits", "_versions"
@@ -29,48 +30,6 @@ class ConcurrentWrite(RuntimeError):
     """Another run has committed since this one looked."""
 
 
-class Folder:
-    """The few file operations that Spark's readers and writers lack, on whatever file system the path names."""
-
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        jvm = spark.sparkContext._jvm
-        self.fs_package, self.path = jvm.org.apache.hadoop.fs, jvm.org.apache.hadoop.fs.Path(path)
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        self.system = self.path.getFileSystem(conf)
-        self.jvm = jvm
-
-    def at(self, name: str):
-        return self.fs_package.Path(self.path, name)
-
-    def names(self) -> list[str]:
-        if not self.system.exists(self.path):
-            return []
-        return [status.getPath().getName() for status in self.system.listStatus(self.path)]
-
-    def read(self, name: str) -> str:
-        stream = self.system.open(self.at(name))
-        try:
-            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-    def write(self, name: str, text: str) -> None:
-        stream = self.system.create(self.at(name), False)
-        try:
-            stream.write(bytearray(text.encode()))
-        finally:
-            stream.close()
-
-    def rename(self, name: str, to: str) -> bool:
-        """Whether the file has the new name now; it never takes the place of another."""
-        if self.system.exists(self.at(to)):
-            return False
-        return self.system.rename(self.at(name), self.at(to)) and not self.system.exists(self.at(name))
-
-    def delete(self, name: str) -> None:
-        self.system.delete(self.at(name), True)
-
-
 class Table:
     """A versioned table at ``root`` partitioned by ``keys``, of one or more ``parts`` (name -> schema without the keys).
 
@@ -109,7 +68,7 @@ class Table:
         for version, keys in sorted(by_version.items()):
             base = f"{self.root}/{VERSIONS}/{version}/{part}"
             folders = Folder(self.spark, base)
-            there = [f for f in (partition_folder(base, self.keys, key) for key in sorted(keys, key=repr)) if folders.system.exists(folders.fs_package.Path(f))]
+            there = [f for f in (partition_folder(base, self.keys, key) for key in sorted(keys, key=repr)) if folders.has(f)]
             if there:  # a partition without rows has no folder
                 frames.append(self.spark.read.schema(schema).option("basePath", base).parquet(*there))
         for frame in frames:
