@@ -280,9 +280,9 @@ def typed_offer_files(
     """All offer files of a day, typed; columns are found by each file's own header.
 
     Rows that do not fit are stored in the table ``refused`` under the run's keys, as they came; running again replaces
-    them.
+    them. Without such a table they stay, with NULL for what does not fit.
     """
-    found = read_delivery(spark, folder, OFFER_FILE, name_glob=f"*{day:%Y%m%d}*.csv")
+    found = read_delivery(spark, folder, OFFER_FILE, name_glob=f"*{day:%Y%m%d}*.csv", strict=refused is not None)
     if refused is not None:
         sink.write_partitions(stamp(found.refused, run or day, "hour"), refused, ARRIVAL_KEYS, gather=False)
     return found.rows.drop("file_name")

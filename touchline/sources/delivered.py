@@ -59,6 +59,7 @@ def read_delivery(
     sep: str = ",",
     name_glob: str | None = None,
     required: tuple[str, ...] = (),
+    strict: bool = True,
 ) -> Delivery:
     """Delimited files with headers of their own, in the declared schema.
 
@@ -66,6 +67,7 @@ def read_delivery(
     that a file does not have is NULL, others are not taken over. A row is refused if it has more or fewer fields than
     its file's header ("torn"), if a text does not fit its column's type ("type: <columns>"), or if a ``required`` column
     is empty or missing ("empty: <columns>"). A refused row stands in ``refused`` as it came, the first reason counting.
+    Without ``strict`` no row is refused: what does not fit, or is not there, is NULL.
     No files, or only empty ones, give no rows; a header that names a column twice is an error.
 
     Files of one header are read by one scan; their number, and with it the plan, grows with the different headers
@@ -79,6 +81,8 @@ def read_delivery(
     whole = frames[0]
     for frame in frames[1:]:
         whole = whole.unionByName(frame)
+    if not strict:
+        whole = whole.withColumn("reason", F.lit(None).cast("string"))
     taken = [F.col("taken").getField(f.name).alias(f.name) for f in target.fields]
     return Delivery(whole.where("reason IS NULL").select(*taken, "file_name"),
                     whole.where("reason IS NOT NULL").select("file_name", "reason", "record"))
