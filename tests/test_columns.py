@@ -119,3 +119,25 @@ def test_file_names(frame):
                     N.between_marks(n, "list_"), N.base_name(F.concat(F.lit("s://b/c/"), n))).collect()
     assert tuple(got[0])[:4] == ("20230901", None, "Autumn deal", "xxxx_Autumn deal_CALLCENTER_2023-09-01_")
     assert tuple(got[1]) == (None, "20230817", "", "", "20230817", "list_20230817.csv")
+
+
+def test_nested_values_are_fitted_inside(spark):
+    df = spark.sql("""select * from values
+        (1, named_struct('B', '7', 'extra', 1), array(named_struct('v', '1'), named_struct('v', 'x'), null), map('1', '2.5', 'no', '1', '01', '9'), '{"b": 3}'),
+        (2, null, array(), map(), 'torn'), (3, named_struct('B', 'bad', 'extra', 1), null, null, null) as t(id, s, a, m, j)""")
+    target = "id int, s struct<a:date,b:int>, a array<struct<v:int,w:string>>, m map<int,double>, j struct<b:long>, gone struct<z:int>"
+    for got in (C.conform(df, target), C.apply_mapping(df, target.rsplit(", ", 1)[0])):
+        assert got.schema["a"].dataType.elementType.fieldNames() == ["v", "w"]
+        one, two, three = got.orderBy("id").collect()
+        assert tuple(one.s) == (None, 7) and [x and tuple(x) for x in one.a] == [(1, None), (None, None), None]
+        assert one.m == {1: 2.5} and one.j.b == 3
+        assert two.s is None and two.a == [] and two.m == {} and (two.j is None or two.j.b is None)
+        assert tuple(three.s) == (None, None) and (three.a, three.m, three.j) == (None, None, None)
+    assert C.conform(df, target).where("gone is null").count() == 3
+
+
+def test_nested_pruning_reaches_the_scan(spark, tmp_path):
+    spark.sql("select 1 as id, named_struct('x', 1, 'y', 2, 'z', 'long') as s").write.parquet(str(tmp_path / "t"))
+    one = C.conform(spark.read.parquet(str(tmp_path / "t")), "id long, s struct<z:string,x:long>").select("s.x")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert one.first().x == 1 and "z:string" not in plan.split("ReadSchema")[1]

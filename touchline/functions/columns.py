@@ -42,6 +42,38 @@ def lenient(col: Column, source: T.DataType, target: T.DataType) -> Column:
     return col.try_cast(target) if form is None else F.when(col.rlike(form), col.try_cast(target))
 
 
+def fitted(col: Column, source: T.DataType, target: T.DataType) -> Column:
+    """:func:`lenient` that walks into structs, arrays and maps, whatever the depth.
+
+    Struct fields are found by name in any order and case: a missing one is a typed NULL, others are dropped, and a NULL
+    struct stays NULL. Array elements and map values are fitted one by one. A map key that does not fit is dropped with
+    its value; of keys that become equal the first stays. Text in place of a nested value is read as JSON.
+    """
+    if isinstance(target, T.StructType) and isinstance(source, T.StructType):
+        have = {field.name.lower(): field for field in source.fields}
+        inner = []
+        for field in target.fields:
+            found = have.get(field.name.lower())
+            value = F.lit(None).cast(field.dataType) if found is None else fitted(
+                col.getField(found.name), found.dataType, field.dataType)
+            inner.append(value.alias(field.name))
+        return F.when(col.isNotNull(), F.struct(*inner))
+    if isinstance(target, T.ArrayType) and isinstance(source, T.ArrayType):
+        return F.transform(col, lambda x: fitted(x, source.elementType, target.elementType))
+    if isinstance(target, T.MapType) and isinstance(source, T.MapType):
+        fit = lambda v: fitted(v, source.valueType, target.valueType)
+        if source.keyType == target.keyType:
+            return F.transform_values(col, lambda k, v: fit(v))
+        entries = F.transform(F.map_entries(col), lambda e: F.struct(
+            fitted(e["key"], source.keyType, target.keyType).alias("key"), fit(e["value"]).alias("value")))
+        keys = F.transform(entries, lambda e: e["key"])
+        first = lambda e, i: e["key"].isNotNull() & (F.array_position(keys, e["key"]) == i + 1)
+        return F.map_from_entries(F.filter(entries, first))
+    if isinstance(target, (T.StructType, T.ArrayType, T.MapType)) and isinstance(source, T.StringType):
+        return F.from_json(col, target)
+    return lenient(col, source, target)
+
+
 def long_of(df: DataFrame, name: str) -> Column:
     """Column ``name`` as a long, for keys that some feeds hold as text."""
     return lenient(quoted(name), df.schema[name].dataType, T.LongType())
@@ -56,12 +88,15 @@ def apply_mapping(df: DataFrame, target: str | T.StructType, sources: Mapping[st
     names = sources or {}
     picked = [(names.get(f.name, f.name), f) for f in read_ddl(target).fields]
     return df.select(*[
-        lenient(quoted(name), df.schema[name].dataType, f.dataType).alias(f.name) for name, f in picked
+        fitted(quoted(name), df.schema[name].dataType, f.dataType).alias(f.name) for name, f in picked
     ])
 
 
 def conform(df: DataFrame, schema: str | T.StructType) -> DataFrame:
-    """Give ``df`` exactly the declared columns: order, type, and typed NULLs where a column is missing."""
+    """Give ``df`` exactly the declared columns: order, type, and typed NULLs where a column is missing.
+
+    Nested columns are conformed field by field, see :func:`fitted`.
+    """
     have = {name.lower(): name for name in df.columns}
     picked = []
     for field in read_ddl(schema).fields:
@@ -69,7 +104,7 @@ def conform(df: DataFrame, schema: str | T.StructType) -> DataFrame:
         if name is None:
             value = F.lit(None).cast(field.dataType)
         else:
-            value = lenient(quoted(name), df.schema[name].dataType, field.dataType)
+            value = fitted(quoted(name), df.schema[name].dataType, field.dataType)
         picked.append(value.alias(field.name))
     return df.select(*picked)
 

@@ -157,6 +157,49 @@ def register_feeds() -> None:
 
 register_feeds()
 
+PLACE = "named_struct('time_zone', 'UTC', 'City_Name', concat('city ', message_id), 'postal_code', message_id * 10, 'since', event_time)"
+
+
+def register_places() -> None:
+    """Feeds whose nested place comes in another order and case, with a number for text, a field more and five fewer."""
+    for kind in ("opens", "clicks"):
+        event_type = FEED_OF_TYPE[kind]
+
+        def build(t: Tables, kind=kind, event_type=event_type) -> DataFrame:
+            rows = t.feed.where(F.col("event_type") == event_type).withColumn("geo", F.expr(f"if(message_id % 4 = 0, null, {PLACE})"))
+            return feeds.event_feed(kind, rows, RUN_DAY).select(
+                "contact_id", "launch_id", "event_time", F.col("geo").isNull().alias("no_place"), "geo.city_name",
+                "geo.postal_code", "geo.time_zone", "geo.country_iso_code")
+
+        query(f"""
+            SELECT contact_id, launch_id, event_time, message_id % 4 = 0 AS no_place,
+                   CASE WHEN message_id % 4 <> 0 THEN 'city ' || message_id END AS city_name,
+                   CASE WHEN message_id % 4 <> 0 THEN CAST(message_id * 10 AS VARCHAR) END AS postal_code,
+                   CASE WHEN message_id % 4 <> 0 THEN 'UTC' END AS time_zone, CAST(NULL AS VARCHAR) AS country_iso_code
+            FROM feed WHERE event_type = '{event_type}' AND contact_id IS NOT NULL AND CAST(event_time AS DATE) = DATE '{RUN_DAY}'
+            """, "feed", name=f"feed_{kind}_place")(build)
+
+
+register_places()
+
+
+@query("""
+    SELECT l_orderkey AS order_id, l_linenumber AS line, CASE WHEN l_linenumber <> 2 THEN CAST(l_quantity AS BIGINT) END AS quantity,
+           CAST(NULL AS VARCHAR) AS note, CAST(l_shipdate AS DATE) AS shipped
+    FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS copies FROM lineitem) WHERE copies = 1""")
+def conform_nested_lines(t: Tables) -> DataFrame:
+    """Orders as nested documents: lines with numbers as text, some of them no numbers, and ship dates by line as text."""
+    whole = "cast(cast(l_quantity as bigint) as string)"
+    lines = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(
+        F.count("*").alias("copies"), F.max("l_quantity").alias("l_quantity"), F.max("l_shipdate").alias("l_shipdate")).where("copies = 1")
+    documents = lines.groupBy(F.col("l_orderkey").cast("string").alias("Order_Id")).agg(
+        F.expr(f"collect_list(named_struct('Quantity', if(l_linenumber = 2, 'two', {whole}), 'LINE', cast(l_linenumber as string)))").alias("lines"),
+        F.expr("map_from_entries(collect_list(struct(cast(l_linenumber as string), cast(to_date(l_shipdate) as string))))").alias("shipped"))
+    nested = C.conform(documents, "order_id long, lines array<struct<line:int,quantity:long,note:string>>, shipped map<int,date>")
+    return nested.select("order_id", "shipped", F.explode("lines").alias("l")).select(
+        "order_id", "l.line", "l.quantity", "l.note", F.expr("shipped[l.line]").alias("shipped"))
+
+
 
 # --- mirrors ---------------------------------------------------------------------------------------------
 
