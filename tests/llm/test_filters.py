@@ -122,6 +122,27 @@ def test_metrics_and_cascade_of_odd_rows(spark, odd_documents, no_documents):
     assert quality.judged(no_documents, quality.estimate(no_documents)).count() == 0
 
 
+@pytest.mark.parametrize("wanted", [(), ("n_words",), ("n_words", "n_repeat_words")])
+def test_rules_measure_nothing_on_rejected_rows(spark, monkeypatch, wanted):
+    """A metric that raises on short texts is never measured behind the rule that rejects these, and is before it."""
+    monkeypatch.setitem(quality.METRICS, "n_trap", "if(size(words) < 50, CAST(raise_error('measured') AS INT), 0)")
+    docs = spark.createDataFrame([(1, "a b c"), (2, " ".join(f"w{i}" for i in range(60))), (3, None)], "doc_id long, text string")
+    short, trap = quality.Estimate(quality.BASE[0], 0.5, 0.0), quality.Estimate(quality.Rule("trap", ("n_trap",), "n_trap > 0"), 0.1, 1.0)
+    run = lambda order: quality.judged(docs, order, wanted) if wanted else quality.cascade(docs, order)
+    assert sorted((r.doc_id, r.failed) for r in run([short, trap]).collect()) == [(1, "short"), (2, None), (3, "short")]
+    with pytest.raises(Exception, match="measured"):
+        run([trap, short]).collect()
+
+
+def test_costs_are_those_of_metrics_not_wanted_anyway(spark):
+    docs = spark.createDataFrame([(i, "Some words of it\n" * 200) for i in range(200)], "doc_id long, text string")
+    cost = {e.rule.name: e.seconds for e in quality.estimate(docs, repeats=10)}
+    assert cost["repeats"] > cost["capitals"]
+    wanted = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    free = {e.rule.name: e.seconds for e in quality.estimate(docs, wanted=wanted)}
+    assert {name for name, seconds in free.items() if seconds == 0} >= {"short", "repeats", "symbols", "word length"}
+
+
 # --- urls
 
 URLS = [None, "", "nothing", "http://Example.NET/en/1", "https://a.example.net/enx", "http://example.net", "x://B.example.com/de/", "http://xexample.com/de/", "http://example.com/DE/", "http://www.x.org/fr/?a=/de/", "http://org/fr/y#z", "http://a.org?x/fr/", "a://b://net/x", "http://net/", "http://ÄB.net/ü?é=1", "http://u:p@example.net/en/"]

@@ -52,12 +52,11 @@ def op5_secrets(table) -> DataFrame:
 @query(oracles.QUALITY)
 def op8_quality(table) -> DataFrame:
     docs = table("documents").select("doc_id", "text")
-    judged = quality.judged(docs, quality.estimate(docs))
-    digest = [F.col(f"metrics.{m}").cast("long").alias(m) for m in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    digest = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    judged = quality.judged(docs, quality.estimate(docs, wanted=digest), digest)
     failed = F.expr(" OR ".join(f"({r.fails})" for r in quality.BASE))
-    return judged.select("doc_id", *digest, "failed").withColumn("base_failed", failed).select(
-        "doc_id", *[m for m in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "base_failed",
-        F.col("failed").isNull().alias("kept"))
+    return judged.select("doc_id", *[F.col(f"metrics.{m}").cast("long").alias(m) for m in digest], "failed").select(
+        "doc_id", *digest, failed.alias("base_failed"), F.col("failed").isNull().alias("kept"))
 
 
 URL_RULES = [urls.UrlRule("net/", "block"), urls.UrlRule("example.net/en/", "allow"), urls.UrlRule("example.com/de/", "block"), urls.UrlRule("org/fr/", "allow")]
