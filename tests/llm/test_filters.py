@@ -4,10 +4,13 @@ import base64
 import gzip
 import hashlib
 import io
+import random
 import re
+import time
 from collections import Counter, defaultdict
 from itertools import combinations
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +76,46 @@ def test_values_copied_within_one_owner_are_not_added(spark):
     assert got == sorted([(i, [], 0, 1) for i in range(11)] + [(i, ["opaque"], 1, 0) for i in (20, *range(20, 30))])
 
 
+def test_sql_counts_owners_and_repositories(spark, tmp_path):
+    """One owner and eleven documents, three owners, and few of both: the query and its SQL say the same of each."""
+    value = lambda n: f"aB{n}" + "dE5fG7" * 4
+    rows = [(i, value(1), "hot") for i in range(11)] + [(20 + i, value(2), f"o{i}") for i in range(3)] + [(30, value(3), None), (31, value(3), "")]
+    rows += [(None, value(4), None), (40, f"password={value(5)} {value(5)}", "x"), (41, None, "y"), (41, "", "y")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert difference(QUERIES["op5_secrets"](spark, str(tmp_path)), con, ORACLES["op5_secrets"]) is None
+    spans = {r.doc_id: r.spans for r in QUERIES["op5_secrets"](spark, str(tmp_path)).collect()}
+    assert spans[3] == spans[21] == "" and spans[30] == spans[31] == "opaque:0:27"
+
+
+def test_texts_of_very_many_spans(spark):
+    """Work grows in proportion to the spans and not with their square, in finding and in redacting."""
+    unit = "token=abcdefgh é " + "aB3" + "dE5fG7" * 4 + " "
+    docs = spark.createDataFrame([(n, unit * n, "o") for n in (100, 30_000)], "doc_id long, text string, source string")
+    start = time.perf_counter()
+    got = secret_scan.scan(docs, keep=("text",)).select("doc_id", F.size("spans").alias("n"), F.expr(secret_scan.redacted()).alias("t")).collect()
+    assert time.perf_counter() - start < 60
+    assert {r.doc_id: r.n for r in got} == {100: 200, 30_000: 60_000}
+    assert all(r.t == "[SECRET] é [SECRET] " * r.doc_id for r in got)
+
+
+def test_redaction_of_overlapping_spans_in_blocks(spark):
+    rng = random.Random(3)
+    rows = []
+    for n in [0, 1, 2, 3, 4, 5, 17, 100, 101] * 4:
+        text = "".join(rng.choice("aé🎉b ") for _ in range(300))
+        starts = sorted(rng.randrange(290) for _ in range(n))
+        rows.append((len(rows), text, [(s, min(300, s + rng.choice([1, 2, 9, 60]))) for s in starts]))
+    docs = spark.createDataFrame(rows, "i int, text string, spans array<struct<start:int,end:int>>")
+    for r in docs.select("i", F.expr(secret_scan.redacted("text")).alias("t")).collect():
+        text, out, at = rows[r.i][1], "", 0
+        for start, end in rows[r.i][2]:
+            out += text[at:start] + "[SECRET]" if start >= at else ""
+            at = max(at, end)
+        assert r.t == out + text[at:]
+
+
 def test_odd_documents_have_rows(odd_documents):
     assert secret_scan.scan(odd_documents).count() == odd_documents.count()
 

@@ -14,22 +14,22 @@ KEEP = {
 def matches_sql(kind: secret_scan.Kind, place: int) -> str:
     pattern = kind.pattern.replace("'", "''")
     return f"""
-      SELECT r, owner, {place} AS place, '{kind.name}' AS kind, stop - length(m) AS start, stop,
+      SELECT r, owner, repository, {place} AS place, '{kind.name}' AS kind, stop - length(m) AS start, stop,
              regexp_extract(m, '{pattern}', {kind.group}) AS v
-      FROM (SELECT r, owner, m, sum(length(gap) + length(m)) OVER (PARTITION BY r ORDER BY n) AS stop
-            FROM (SELECT r, owner, unnest(found) AS m, unnest(gaps[:len(found)]) AS gap, unnest(range(len(found))) AS n
-                  FROM (SELECT r, owner, regexp_extract_all(body, '{pattern}') AS found,
+      FROM (SELECT r, owner, repository, m, sum(length(gap) + length(m)) OVER (PARTITION BY r ORDER BY n) AS stop
+            FROM (SELECT r, owner, repository, unnest(found) AS m, unnest(gaps[:len(found)]) AS gap, unnest(range(len(found))) AS n
+                  FROM (SELECT r, owner, repository, regexp_extract_all(body, '{pattern}') AS found,
                                regexp_split_to_array(body, '{pattern}') AS gaps FROM d)))
       WHERE {KEEP[kind.name]}"""
 
 
 SECRETS = f"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS body FROM documents),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('s' || source, '') AS owner, coalesce(CAST(doc_id AS VARCHAR), '') AS repository, coalesce(text, '') AS body FROM documents),
 every AS ({' UNION ALL '.join(matches_sql(k, i) for i, k in enumerate(secret_scan.KINDS))}),
 base AS (SELECT * FROM every WHERE place < {len(secret_scan.BASE)}),
 found AS (SELECT * FROM every e WHERE place < {len(secret_scan.BASE)}
           OR NOT EXISTS (SELECT 1 FROM base b WHERE b.r = e.r AND b.start <= e.start AND e.stop <= b.stop)),
-owned AS (SELECT v, count(DISTINCT owner) <= 2 AS live FROM found GROUP BY v),
+owned AS (SELECT v, count(DISTINCT owner) <= 2 AND count(DISTINCT repository) <= 10 AS live FROM found GROUP BY v),
 told AS (
   SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
          string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) FILTER (place < {len(secret_scan.BASE)}) AS base,

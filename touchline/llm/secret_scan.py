@@ -39,12 +39,22 @@ LOOSE = (
 KINDS = (*BASE, *LOOSE)
 BLOCK = 64
 
-#: Running sums of the array ``steps``: sums within blocks, and of whole blocks, so that a text of very many matches
-#: costs no square of their number.
-RUNNING = let(
-    "blocks", f"transform(sequence(0, (size(steps) - 1) div {BLOCK}), b -> slice(steps, b * {BLOCK} + 1, {BLOCK}))", let(
-        "bases", "aggregate(blocks, array(0), (a, b) -> concat(a, array(a[size(a) - 1] + aggregate(b, 0, (s, x) -> s + x))))",
-        "flatten(transform(blocks, (b, i) -> slice(aggregate(b, array(bases[i]), (a, x) -> concat(a, array(a[size(a) - 1] + x))), 2, size(b))))"))
+
+def running(fold) -> str:
+    """SQL of ``fold`` (SQL of two whole numbers, 0 its neutral) over each beginning of the array ``steps``: within blocks,
+    and of whole blocks, so that a text of very many matches costs no square of their number."""
+    return let(
+        "blocks", f"transform(sequence(0, (size(steps) - 1) div {BLOCK}), b -> slice(steps, b * {BLOCK} + 1, {BLOCK}))", let(
+            "bases", f"aggregate(blocks, array(0), (a, b) -> concat(a, array({fold('a[size(a) - 1]', 'aggregate(b, 0, (s, x) -> ' + fold('s', 'x') + ')')})))",
+            f"flatten(transform(blocks, (b, i) -> slice(aggregate(b, array(bases[i]), (a, x) -> concat(a, array({fold('a[size(a) - 1]', 'x')}))), 2, size(b))))"))
+
+
+RUNNING = running(lambda a, b: f"{a} + {b}")
+#: Spans of ``found`` (by start, then kind) but for loose ones inside a base one: those end where a base span that does not
+#: begin later reaches.
+APART = "if(size(found) = 0, found, " + let(
+    "steps", f"transform(found, s -> if(s.place < {len(BASE)}, s.end, 0))", let(
+        "reach", running(lambda a, b: f"greatest({a}, {b})"), f"filter(found, (s, i) -> s.place < {len(BASE)} OR s.end > reach[i])")) + ")"
 
 
 def matches(kind: Kind, place: int) -> str:
@@ -87,9 +97,7 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", max
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), named(owner).alias("owner"),
         named(repository).alias("repository"), F.array_sort(every).alias("found"), *([F.struct(*keep).alias("kept")] if keep else [])))
     base = F.expr(f"filter(found, s -> s.place < {len(BASE)})")
-    inside = "exists(base, b -> b.start <= s.start AND s.end <= b.end)"
-    found = found.withColumn("base", base).withColumn(
-        "found", F.expr(f"filter(found, s -> s.place < {len(BASE)} OR NOT {inside})"))
+    found = found.withColumns({"base": base, "found": F.expr(APART)})
     candidates = found.select("row", "owner", "repository", F.explode("found").alias("s")).withColumn("hash", F.unhex(F.sha1("s.value")))
     owned = stage(candidates.groupBy("hash").agg(F.count_distinct("owner").alias("owners"), F.count_distinct("repository").alias("repositories")))
     live = (F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)
@@ -102,8 +110,19 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id", max
 
 
 def redacted(text: str = "kept.text", spans: str = "spans", mark: str = "[SECRET]") -> str:
-    """SQL of the text with each span, or run of overlapping spans, replaced by ``mark``."""
+    """SQL of the text with each span, or run of overlapping spans, replaced by ``mark``; spans are in order of their starts.
+
+    Spans are taken in as many blocks as a block has spans, and each block has its own stretch of the text, so neither the
+    text nor what is done of it is walked once a span.
+    """
     # ``at`` is where the text goes on after the spans so far; a span that starts before it only moves it.
-    step = f"""named_struct('done', concat(a.done, if(s.start >= a.at, concat(substring({text}, a.at + 1, s.start - a.at), '{mark}'), '')),
+    step = f"""named_struct('done', if(s.start >= a.at, concat(a.done, substring(part, a.at - at + 1, s.start - a.at), '{mark}'), a.done),
                             'at', greatest(a.at, s.end))"""
-    return f"aggregate({spans}, named_struct('done', '', 'at', 0), (a, s) -> {step}, a -> concat(a.done, substring({text}, a.at + 1)))"
+    block = let("at", "starts[i]", let("part", f"substring({text}, at + 1, greatest(ends[i] - at, 0))",
+                                       f"aggregate(block, named_struct('done', '', 'at', at), (a, s) -> {step}, a -> a.done)"))
+    whole = let("per", f"CAST(ceil(sqrt(size({spans}))) AS INT)", let(
+        "blocks", f"transform(sequence(0, CAST((size({spans}) - 1) div per AS INT)), b -> slice({spans}, b * per + 1, per))", let(
+            "ends", "transform(blocks, b -> array_max(transform(b, s -> s.end)))", let(
+                "starts", "transform(ends, (e, i) -> if(i = 0, 0, array_max(slice(ends, 1, i))))",
+                f"concat(array_join(transform(blocks, (block, i) -> {block}), ''), substring({text}, array_max(ends) + 1))"))))
+    return f"if(size({spans}) = 0, {text}, {whole})"
