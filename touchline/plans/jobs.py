@@ -250,9 +250,11 @@ def load_contact_export(spark: SparkSession, path: str, root: str, run: RunTime)
 
 
 def load_call_audience(spark: SparkSession, path: str, root: str, folder: str, run: RunTime) -> None:
-    """Store a call-centre export and hand it on; an empty file is an error."""
-    export = sink.require_rows(read_export(spark, path, with_name=True), path)
+    """Store a call-centre export and hand it on; an empty file is an error. The file is read once."""
+    export, seen = sink.observed(read_export(spark, path, with_name=True))
     with staged(audience.call_audience(export, run)) as rows:
+        if not seen.get["rows"]:
+            raise ValueError(f"{path} is empty")
         sink.write_partitions(rows, root, ARRIVAL_KEYS, gather=False)
         handoff.write_csv(rows, folder, drop=["channel", "campaign_name", *ARRIVAL_KEYS])
 

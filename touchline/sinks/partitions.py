@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -53,8 +54,8 @@ def replace_where(df: DataFrame, root: str, keys: Sequence[str], where: Column)
     for it.
     """
     spark = df.sparkSession
-    with staged(df) as rows:
-        if not rows.where(~F.coalesce(where, F.lit(False))).isEmpty():
+    with guarded(df, outside=~F.coalesce(where, F.lit(False))) as (rows, seen):
+        if seen["outside"]:
             raise ValueError("new rows lie outside the range to replace")
         old = _stored(spark, root, df.schema).where(where).select(*keys).distinct().collect()
         _replace(rows, root, list(keys), [tuple(row) for row in old])
@@ -81,8 +82,8 @@ def replace_slice(df: DataFrame, root: str, key: str, value: object) -> None:
     The slice is one folder, so this is one plain overwrite of it. Rows of another slice, or of none, are refused
     before anything is written.
     """
-    with staged(df) as rows:
-        if not rows.where(~F.col(key).eqNullSafe(F.lit(value))).isEmpty():
+    with guarded(df, outside=~F.col(key).eqNullSafe(F.lit(value))) as (rows, seen):
+        if seen["outside"]:
             raise ValueError(f"new rows lie outside the slice {key} = {value!r}")
         rows.drop(key).write.mode("overwrite").parquet(partition_folder(root, [key], [value]))
 
@@ -147,8 +148,9 @@ def publish(df: DataFrame, root: str, keys: Sequence[str], aside: str | None = N
     must not lose it names the folder. The copy keeps its file layout, so the second write does not shuffle. An empty
     ``df`` leaves the table as it is.
     """
-    copy = stage(balanced(df, keys), aside)
-    if not copy.isEmpty():
+    counted, seen = observed(balanced(df, keys))
+    copy = stage(counted, aside)
+    if seen.get["rows"]:
         _overwrite(copy, root, keys)
     return copy
 
@@ -163,11 +165,11 @@ def _overwrite(df: DataFrame, root: str, keys: Sequence[str]) -> None:
 
 
 def write_if_rows(df: DataFrame, write) -> bool:
-    """Run ``write(df)`` unless ``df`` is empty; says whether it did."""
-    if df.isEmpty():
-        return False
-    write(df)
-    return True
+    """Run ``write`` on a copy of ``df`` unless that is empty; says whether it did. ``df`` is computed once, by the copying."""
+    with guarded(df) as (rows, seen):
+        if seen["rows"]:
+            write(rows)
+        return bool(seen["rows"])
 
 
 def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -176,6 +178,18 @@ def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(count, F.count(F.lit(1)).alias("rows")), count
 
 
+@contextmanager
+def guarded(df: DataFrame, **facts: Column) -> Iterator[tuple[DataFrame, dict[str, int]]]:
+    """A staged copy of ``df`` and, counted by the write of it, its ``rows`` and the rows of which each of ``facts`` holds.
+
+    What is decided by these numbers is decided before the target is touched, and ``df`` is computed once.
+    """
+    seen = Observation()
+    counts = [F.count_if(fact).alias(name) for name, fact in facts.items()]
+    with staged(df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts)) as rows:
+        yield rows, seen.get
+
+
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     if df.isEmpty():
         raise ValueError(f"{what} is empty")
