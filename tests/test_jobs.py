@@ -280,3 +280,34 @@ def test_offers_loaded_again_keep_their_ids(spark, tmp_path):
         jobs.load_offers(spark, f"{tmp_path}/o.csv", f"{tmp_path}/offers", run)
         ids.append(sorted(r[0] for r in spark.read.parquet(f"{tmp_path}/offers").select("id_oferta_int").collect()))
     assert ids[0] == ids[1] == [1, 2, 3] and ids[2] == [1, 2, 3, 4, 5, 6] and len(set(ids[3])) == 6
+
+
+def test_simple_history_is_stored_and_registered(spark, frame, tmp_path):
+    event = "contact_id long, campaign_id long, event_time timestamp, launch_id long"
+    campaigns = frame("id long, name string, event_time timestamp", (7, "old", T0), (7, "new", T0 + dt.timedelta(1)))
+    root = f"{tmp_path}/simple"
+    spark.sql(f"create table simple_history ({schemas.SIMPLE_HISTORY}, month string, day string) using parquet "
+              f"partitioned by (month, day) location '{root}'")
+    try:
+        for day, sends in ((DAY, [(1, 7, T0, 3)] * 2), (DAY, [(1, 7, T0, 3)]), (DAY + dt.timedelta(1), [(5, 8, T0 + dt.timedelta(1), 4)])):
+            jobs.store_simple_history(root, day, frame(event, *sends), frame(event, (2, 7, T0, 3)), frame(event, (None, 7, T0, 3)),
+                                      campaigns, table="simple_history")
+        got = rows_of(spark.table("simple_history"), "contact_id", "campaign_name", "channel", "day")
+        assert got == [(1, "new", "email", f"{DAY:%Y%m%d}"), (2, "new", "email", f"{DAY:%Y%m%d}"),
+                       (5, None, "email", f"{DAY + dt.timedelta(1):%Y%m%d}")]
+    finally:
+        spark.sql("drop table simple_history")
+
+
+def test_offers_are_known_to_the_catalog(spark, tmp_path):
+    names = [c.split(" ")[0] for c in schemas.OFFERS_IN.split(", ")]
+    (tmp_path / "o.csv").write_text(",".join(names) + "\n" + "5" + "," * (len(names) - 1) + "\n")
+    root = f"{tmp_path}/offers"
+    spark.sql(f"create table offers_in ({schemas.OFFERS_IN}, id_oferta_int long, month string, day string, day_hour string) "
+              f"using parquet partitioned by (month, day, day_hour) location '{root}'")
+    try:
+        for hours in (0, 1):
+            jobs.load_offers(spark, f"{tmp_path}/o.csv", root, RUN + dt.timedelta(hours=hours), table="offers_in")
+        assert spark.table("offers_in").count() == 2
+    finally:
+        spark.sql("drop table offers_in")

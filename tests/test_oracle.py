@@ -43,3 +43,18 @@ def test_each_filter_of_a_feed_drops_rows(spark, drop):
     elif drop == "contact_id":
         rows = rows.withColumn("contact_id", F.lit(1))
     assert 0 < kept < feeds.event_feed("opens", rows, RUN_DAY, campaign_ids=None if drop == "campaign" else ids).count()
+
+
+def test_lookups_and_filters_are_not_idle(spark):
+    """Each of these queries would give other rows without its operator."""
+    t, rows = Tables(spark, SMALL), lambda name: QUERIES[name](spark, SMALL)
+    assert 0 < rows("existence_semi").count() < t.answers("view").count()
+    assert 0 < rows("paged_contacts_distinct").count() < t.customer.count()
+    assert 0 < rows("contact_ids").count() < t.customer.count()
+    assert 0 < rows("snapshot_view").count() < t.orders.count()
+    for name in ("left_lookup_dedup", "left_lookup_on_literal"):
+        found = rows(name)
+        assert found.count() == t.history.count() and found.where("account_id is null").count() > 0
+        assert found.where("account_id is not null").count() > 0
+    listed = t.customer.where("c_acctbal < 0").count()
+    assert listed < rows("base_audience_with_winback").count() < t.customer.count()

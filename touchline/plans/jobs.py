@@ -92,6 +92,22 @@ def compose_and_store(history_root: str, run_day: dt.date, **inputs) -> None:
     sink.write_partitions(rows, history_root, HISTORY_KEYS, gather=False)
 
 
+def store_simple_history(
+    history_root: str, run_day: dt.date, sends: DataFrame, cancels: DataFrame, bounces: DataFrame, campaigns: DataFrame,
+    channel: str = "email", table: str | None = None,
+) -> None:
+    """Write the day's short history in place of an earlier run's; ``table`` is the catalog's name of it, if it has one."""
+    rows = compose.compose_simple(sends, cancels, bounces, campaigns, run_day, channel)
+    sink.write_partitions(rows, history_root, ["month", "day"], gather=False)
+    announce(rows.sparkSession, table)
+
+
+def announce(spark: SparkSession, table: str | None) -> None:
+    """Tell the catalog of partitions written by path, if the folder is a table of it."""
+    if table is not None:
+        sink.register_partitions(spark, table)
+
+
 def refresh_status(
     spark: SparkSession, history_root: str, run_day: dt.date, opens: DataFrame, clicks: DataFrame, bounces: DataFrame,
     channel: str = "email", days: int = status.WINDOW_DAYS,
@@ -145,17 +161,19 @@ def refresh_call_contact(
 def attribute(
     spark: SparkSession, history_root: str, conversions: DataFrame | None = None, aside: str | None = None,
     arrived: str | None = None, archive: str | None = None, keys: Mapping[str, object] | None = None,
+    table: str | None = None,
 ) -> None:
     """Credit arrived conversions over the whole history and publish it again; a second run changes nothing.
 
     Conversions are given, or read from the file ``arrived``, or else from the slice ``keys`` of the table ``archive``.
-    ``aside`` is where the new history is written first, see :func:`publish`.
+    ``aside`` is where the new history is written first, see :func:`publish`; ``table`` is the history's name in the catalog.
     """
     if conversions is None:
         conversions = file_or_slice(spark, arrived, archive, dict(keys or {}), read_csv)
     history = spark.read.schema(HISTORY).parquet(history_root)
     rows = credited_again(history, typed_conversions(conform(conversions, CONVERSIONS)))
     sink.publish(rows, history_root, HISTORY_KEYS, aside)
+    announce(spark, table)
 
 
 def history_table(spark: SparkSession, root: str, schema: str | T.StructType = HISTORY, keys: Sequence[str] = HISTORY_KEYS) -> Table:
@@ -193,8 +211,8 @@ def attribute_changed(table: Table, conversions: DataFrame, weights: Mapping[str
 
 # --- offers ----------------------------------------------------------------------------------------------
 
-def load_offers(spark: SparkSession, path: str, root: str, run: RunTime) -> None:
-    """Number, type and store an offers file; ids go on after the greatest stored one.
+def load_offers(spark: SparkSession, path: str, root: str, run: RunTime, table: str | None = None) -> None:
+    """Number, type and store an offers file; ids go on after the greatest stored one. ``table`` is its catalog name.
 
     The run's own partition does not count, so a run that is repeated gives the same ids.
     """
@@ -204,6 +222,7 @@ def load_offers(spark: SparkSession, path: str, root: str, run: RunTime) -> None
     stored = stored.join(F.broadcast(own), list(ARRIVAL_KEYS), "left_anti")  # one row
     rows = offers.offers_assign_ids(read_csv(spark, path), last_id(stored, "id_oferta_int"), run)
     sink.write_partitions(rows, root, ARRIVAL_KEYS, gather=False)
+    announce(spark, table)
 
 
 def request_links(offers_view: DataFrame, requests: DataFrame, root: str, folder: str, run: RunTime) -> None:

@@ -56,10 +56,10 @@ def scan_trailing_days(t: Tables) -> DataFrame:
     return rows.select("event_id", "event_type")
 
 
-@query("SELECT c_mktsegment AS id, c_name AS account FROM customer")
+@query("SELECT c_mktsegment AS id, c_name AS account FROM customer WHERE starts_with(c_name, 'Customer#0000001')")
 def paged_contacts_distinct(t: Tables) -> DataFrame:
     page = t.customer.select(F.col("c_mktsegment").alias("id"), F.col("c_name").alias("account"))
-    return feeds.paged_contacts(feeds.union_pages([page, page]), "account", "Customer#")
+    return feeds.paged_contacts(feeds.union_pages([page, page]), "account", "Customer#0000001")
 
 
 @query("""
@@ -397,17 +397,17 @@ def unequal_nullable(t: Tables) -> DataFrame:
 
 @query("""
     SELECT h.comm_id, h.contact_id, c.account_id, substring(c.account_id, 5) AS number
-    FROM history h LEFT JOIN contacts c ON h.contact_id = c.user_id""", "history", "contacts")
+    FROM history h LEFT JOIN (SELECT * FROM contacts WHERE user_id % 5 <> 0) c ON h.contact_id = c.user_id""", "history", "contacts")
 def left_lookup_dedup(t: Tables) -> DataFrame:
-    rows = spread_join(t.history, compose.contact_accounts(t.contacts), ["contact_id"])
+    rows = spread_join(t.history, compose.contact_accounts(t.contacts.where("user_id % 5 <> 0")), ["contact_id"])
     return rows.select("comm_id", "contact_id", "account_id", C.stripped_key(F.col("account_id"), "ACC_").alias("number"))
 
 
 @query("""
     SELECT h.comm_id, h.channel, c.account_id FROM history h
-    LEFT JOIN contacts c ON h.contact_id = c.user_id AND h.channel = 'email'""", "history", "contacts")
+    LEFT JOIN (SELECT * FROM contacts WHERE user_id % 5 <> 0) c ON h.contact_id = c.user_id AND h.channel = 'email'""", "history", "contacts")
 def left_lookup_on_literal(t: Tables) -> DataFrame:
-    ids = compose.contact_accounts(t.contacts)
+    ids = compose.contact_accounts(t.contacts.where("user_id % 5 <> 0"))
     rows = spread_join(t.history, ids, ["contact_id"], only_when=F.col("channel") == "email")
     return rows.select("comm_id", "channel", "account_id")
 
@@ -431,11 +431,11 @@ def semi_join_campaigns(t: Tables) -> DataFrame:
 
 @query("""
     SELECT event_id, event_type FROM answers a WHERE event_type = 'view' AND EXISTS (
-        SELECT 1 FROM history h WHERE h.contact_id = a.contact_id AND h.campaign_id = a.campaign_id)""",
+        SELECT 1 FROM history h WHERE h.contact_id = a.contact_id AND h.campaign_id = a.campaign_id AND h.bounce_dt IS NOT NULL)""",
        "answers", "history")
 def existence_semi(t: Tables) -> DataFrame:
     rows = t.answers("view").withColumn("campaign_id", F.col("campaign_id").cast("long"))
-    known = t.history.select("contact_id", "campaign_id").distinct()
+    known = t.history.where("bounce_dt is not null").select("contact_id", "campaign_id").distinct()
     joined = spread_join(rows, known, ["contact_id", "campaign_id"], "left_semi")
     return joined.select("event_id", F.lit("view").alias("event_type"))
 
@@ -721,17 +721,17 @@ def base_audience(t: Tables) -> DataFrame:
 
 @query("""
     SELECT DISTINCT 'ACC_' || o_custkey AS account_id, 'XX' AS org_cntry, 'FIXED' AS mkt FROM (
-        SELECT o_custkey FROM orders WHERE o_orderdate >= DATE '2000-06-30' UNION ALL SELECT c_custkey FROM customer)""")
+        SELECT o_custkey FROM orders WHERE o_orderdate >= DATE '2000-06-30' UNION ALL SELECT c_custkey FROM customer WHERE c_acctbal < 0)""")
 def base_audience_with_winback(t: Tables) -> DataFrame:
     recent = S.slice_from(t.orders, "o_orderdate", dt.date(2000, 6, 30))
-    winback = t.customer.select(F.col("c_custkey").cast("string"))
+    winback = t.customer.where("c_acctbal < 0").select(F.col("c_custkey").cast("string"))
     return audience.base_audience(recent, "o_custkey", "ACC_", BASE, winback, "c_custkey")
 
 
-@query("SELECT c_custkey AS user_id, c_name AS account_id, '19990630' AS process_day FROM customer")
+@query("SELECT c_custkey AS user_id, c_name AS account_id, '19990630' AS process_day FROM customer WHERE starts_with(c_name, 'Customer#0000001')")
 def contact_ids(t: Tables) -> DataFrame:
     raw = t.customer.select(F.col("c_custkey").cast("string").alias("user id"), F.col("c_name").alias("account (key)"))
-    return audience.contact_ids(raw, "user_id", "account__key_", "Customer#", RUN)
+    return audience.contact_ids(raw, "user_id", "account__key_", "Customer#0000001", RUN)
 
 
 @query(f"SELECT c_custkey AS user_id, c_acctbal AS \"balance_usd_\", {STAMP_HOUR} FROM customer")
@@ -862,9 +862,10 @@ def offer_file_typing(t: Tables) -> DataFrame:
 
 # --- the rest --------------------------------------------------------------------------------------------
 
-@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_totalprice IS NOT NULL")
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_totalprice IS NOT NULL AND o_orderstatus <> 'F'")
 def snapshot_view(t: Tables) -> DataFrame:
-    t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice").createOrReplaceTempView("current_offers_view")
+    priced = F.when(F.col("o_orderstatus") != "F", F.col("o_totalprice")).alias("o_totalprice")
+    t.orders.select("o_orderkey", "o_orderstatus", priced).createOrReplaceTempView("current_offers_view")
     return S.scan(t.spark, "current_offers_view").where(F.col("o_totalprice").isNotNull())
 
 
