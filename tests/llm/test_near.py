@@ -91,6 +91,41 @@ def test_groups_around_the_threshold(spark, n, percent):
     assert got(ngram_join.similar_groups(docs, n, percent)) == plain_groups(rows, n, percent)
 
 
+def template_texts(rng, copies, own, size=200):
+    """Texts that share all words but ``own`` at the end, and are pairwise just under 85 % similar where 17 of 200 are their own."""
+    base = [f"t{rng.randrange(10**9)}" for _ in range(size - own)]
+    return [" ".join(base + [f"o{rng.randrange(10**9)}" for _ in range(own)]) for _ in range(copies)]
+
+
+@pytest.mark.parametrize("n, percent", [(4, 85), (1, 80)])
+def test_larger_groups_are_divided_by_leaders(spark, monkeypatch, n, percent):
+    monkeypatch.setattr(ngram_join, "EACH_WITH_EACH", 10)
+    rng = random.Random(n)
+    texts = template_texts(rng, 40, 17) + template_texts(rng, 25, 30, 120)
+    # Under one template: links that no leader shows, sets of other sizes, and a template within the template.
+    texts += [edited(t.split(), e, rng) for t in texts[:12] for e in (1, 9)]
+    inner = texts[0].split()[:183] + [f"i{i}" for i in range(9)]
+    texts += [" ".join(inner + [f"v{i}_{k}" for k in range(x)]) for i in range(20) for x in (8, 30, 42)]
+    texts += [" ".join(texts[1].split()[rng.randrange(60):][:rng.randrange(90, 180)]) for _ in range(40)]
+    base = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+    texts += [edited(base, rng.randrange(5), rng) for _ in range(60)]
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert got(ngram_join.similar_groups(docs, n, percent)) == plain_groups(rows, n, percent)
+
+
+def test_texts_under_a_template_are_not_compared_pair_by_pair(spark, monkeypatch):
+    compared = []
+    linked, apart = ngram_join.linked, ngram_join.apart
+    monkeypatch.setattr(ngram_join, "linked", lambda pairs, *a: compared.append(pairs.count()) or linked(pairs, *a))
+    monkeypatch.setattr(ngram_join, "apart", lambda led, *a: compared.append(led.count()) or apart(led, *a))
+    rows = list(enumerate(template_texts(random.Random(3), 1_000, 17)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert all(c == d for d, _, c in got(ngram_join.similar_groups(docs, 1, 85)))
+    assert sum(compared) < 10 * len(rows)
+
+
 def test_no_documents(spark, no_documents):
     assert ngram_join.similar_groups(no_documents).count() == 0
 

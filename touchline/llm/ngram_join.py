@@ -9,8 +9,12 @@ the order too: two similar documents have their first ``SHARED`` common n-grams
 2. A second pass lists the first n-grams of each set. Lists meet by n-gram; there every set is paired with one leader,
    the one in which the n-gram stands first, so pairs grow with the rows and not with a group's square.
 3. A third pass writes the fragments of the sets that are paired. The pairs are counted, and the links give components.
-4. Sets that meet but are in different components by then are paired too, as the leader may be similar to neither;
-   their fragments are written by a pass of their own.
+4. Sets that meet but are in different components by then are paired too, as the leader may be similar to neither. Where
+   few of similar size meet, that is each with each. A larger group is led by its smallest set: of two that are similar
+   and not both similar to the leader, neither smaller than it, more is common than the leader has of one, so they
+   share an n-gram that it lacks. Each set of the group is listed under the first ones that the leader lacks, and meets
+   others there, in smaller groups, which are dealt with alike. So sets that share a template and nothing else are
+   compared with one leader, and not with each other.
 
 Links inside a component are not looked for, as they change nothing. A set also has a mark: one bit per group of
 n-grams, telling whether it has an odd number of them. Two marks differ in no more bits than the sets in n-grams, so
@@ -20,6 +24,7 @@ pairs whose marks differ too much are left out, and nothing similar is.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +44,8 @@ SLICES = 64
 #: Bits of the table that tells which sets are wanted: 2 ** WANTED_BITS, whatever their number.
 WANTED_BITS = 26
 MARK_BITS = 256
+#: Up to so many sets that meet are compared each with each; larger groups are divided by leaders. Results do not depend on it.
+EACH_WITH_EACH = 100
 LIST = "token long, place int, fp long, n int"
 
 
@@ -238,7 +245,7 @@ def wanted_bits(wanted: DataFrame) -> np.ndarray:
 
 
 def cut_sets(docs: DataFrame, n: int, counts, cuts: np.ndarray, bits) -> DataFrame:
-    """Third pass: (fp, fragment, grams) of the documents (text, key) let through by ``bits``; of others no set is made."""
+    """Third pass: (fp, fragment, grams in order) of the documents (text, key) let through by ``bits``; of others no set is made."""
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             place = batch.column(1).to_numpy() & (1 << WANTED_BITS) - 1
@@ -248,8 +255,10 @@ def cut_sets(docs: DataFrame, n: int, counts, cuts: np.ndarray, bits) -> DataFra
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, held = [], 0
         for fp, found in once(texts_of(wanted(batches), n)):
-            fragment = np.searchsorted(cuts, order_keys(found, counts.value), "right")
-            waiting += [(fp, int(f), found[fragment == f].view(np.int64)) for f in np.unique(fragment)]
+            keys = order_keys(found, counts.value)
+            order = np.argsort(keys, kind="stable")
+            fragment, grams = np.searchsorted(cuts, keys[order], "right"), found[order].view(np.int64)
+            waiting += [(fp, int(f), grams[fragment == f]) for f in np.unique(fragment)]
             held += len(found)
             if held >= 100_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*waiting, strict=True), kinds, strict=True)], names=names)
@@ -272,6 +281,30 @@ def linked(pairs: DataFrame, sets: DataFrame, fragments: int, percent: int) -> D
     return stage(total.filter(100 * F.col("common") >= percent * (F.col("a_n") + F.col("b_n") - F.col("common"))).select("a", "b"))
 
 
+def apart(led: DataFrame, sets: DataFrame, fragments: int, percent: int) -> DataFrame:
+    """``led`` (a, b, a_n, b_n) with ``alike``, whether a is similar to its leader b, and ``first``: so many of the first
+    n-grams of a that b lacks that sets similar to a, and no smaller than b, have one of them among their own, unless
+    both are similar to b. Of such a set and a, ``least`` n-grams are common, all but those of a and b outside b."""
+    parts = led.select("a", "b", "a_n", "b_n", F.explode(F.sequence(F.lit(0), F.lit(fragments - 1))).alias("fragment"))
+    left = sets.select(F.col("fp").alias("a"), "fragment", F.col("grams").alias("a_grams"))
+    right = sets.select(F.col("fp").alias("b"), "fragment", F.col("grams").alias("b_grams"))
+    cut = parts.join(left, ["a", "fragment"]).join(right, ["b", "fragment"], "left").select(
+        "a", "b", "a_n", "b_n", "fragment", F.coalesce(F.array_except("a_grams", "b_grams"), "a_grams").alias("others"))
+    whole = cut.groupBy("a", "b", "a_n", "b_n").agg(F.array_sort(F.collect_list(F.struct("fragment", "others"))).alias("others"))
+    whole = whole.withColumn("others", F.flatten("others.others")).withColumn("common", F.col("a_n") - F.size("others"))
+    least = F.ceil(percent * (F.col("a_n") + F.greatest("b_n", share_of(F.col("a_n"), percent))) / (100 + percent)).cast("int")
+    size = F.least(F.size("others"), F.col("a_n") - least + 1)
+    return stage(whole.select("a", "b", F.slice("others", F.lit(1), size).alias("first"),
+                              (100 * F.col("common") >= percent * (F.col("a_n") + F.col("b_n") - F.col("common"))).alias("alike")))
+
+
+def size_class(n: Column, percent: int) -> Column:
+    """Sizes of similar sets are in the same class or in classes side by side."""
+    if percent == 100:
+        return n.cast("int")
+    return F.floor(F.log(n.cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
+
+
 def groups(docs: DataFrame, n: int, percent: int, fragments: int = 4) -> DataFrame:
     """(doc_id, key, n_shingles, component_id, root) per row of ``docs``; see :func:`similar_groups`.
 
@@ -287,13 +320,15 @@ def groups(docs: DataFrame, n: int, percent: int, fragments: int = 4) -> DataFra
     counts, cuts = spark.sparkContext.broadcast(table), pivots(table, fragments)
     lists = stage(met(first_grams(rows, n, percent, counts)))
 
-    def checked(pairs: DataFrame) -> DataFrame:
-        """The similar ones of ``pairs``, whose fragments a pass over the texts gives."""
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        """The fragments of the sets in ``pairs``, which a pass over the texts gives."""
         wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(marks.select("fp", "key"), "fp"))
         bits = spark.sparkContext.broadcast(wanted_bits(wanted))
         cut = cut_sets(keyed.select("text", "key"), n, counts, cuts, bits).join(wanted, "fp", "left_semi")
-        sets = stage(cut.groupBy("fp", "fragment").agg(F.any_value("grams").alias("grams")))
-        return linked(pairs, sets, fragments, percent)
+        return stage(cut.groupBy("fp", "fragment").agg(F.any_value("grams").alias("grams")))
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        return linked(pairs, sets_of(pairs), fragments, percent)
 
     mark = lambda side: marks.select(F.col("fp").alias(side), F.col("mark").alias(f"{side}_mark"))
     enough = F.least(needed(F.col("a_n"), percent), needed(F.col("b_n"), percent))
@@ -309,13 +344,42 @@ def groups(docs: DataFrame, n: int, percent: int, fragments: int = 4) -> DataFra
     rest = grouped.join(mixed, "token", "left_semi")
     least = share_of(share_of(F.max("n"), percent), percent)
     often = stage(rest.groupBy("fp").agg(F.count("*").alias("met"), F.least(F.lit(SHARED), least).alias("least")).filter("met >= least").select("fp"))
-    rest = stage(rest.join(often, "fp", "left_semi").join(marks.drop("key"), "fp"))
-    side = lambda x: rest.select("token", *[F.col(c).alias(f"{x}_{c}") for c in ("n", "place", "root", "mark")], F.col("fp").alias(x))
+    rest = rest.join(often, "fp", "left_semi").join(marks.drop("key"), "fp").withColumn("class", size_class(F.col("n"), percent))
+    # A set stands in the windows of its own class and the one below, so similar ones share that of the smaller one's class.
+    member = stage(rest.select("token", "place", "fp", "n", "root", "mark", F.explode(F.array("class", F.col("class") - 1)).alias("window")))
     common = F.ceil(percent * (F.col("a_n") + F.col("b_n")) / (100 + percent))
     first = (F.col("a_place") < F.col("a_n") - common + enough) & (F.col("b_place") < F.col("b_n") - common + enough)
-    crossing = side("a").join(side("b"), "token").filter((F.col("a_root") < F.col("b_root")) & first & alike(percent))
-    further = crossing.groupBy("a", "b", "a_n", "b_n").agg(F.count("*").alias("met")).filter(F.col("met") >= enough).drop("met")
-    further = stage(further)
+    further, begun = [], False
+    while True:
+        by_root = member.groupBy("token", "window", "root").agg(F.count("*").alias("sets"), F.min(F.struct("n", "fp")).alias("least"))
+        sizes = by_root.groupBy("token", "window").agg(F.sum("sets").alias("sets"), F.max(F.struct("sets", "root")).alias("major"), F.min("least").alias("leader"))
+        sizes = stage(sizes.select("token", "window", "leader", F.col("major.root").alias("major"), (F.col("sets") - F.col("major.sets")).alias("others")).filter("others > 0"))
+        few, many = sizes.filter(F.col("others") <= EACH_WITH_EACH), sizes.filter(F.col("others") > EACH_WITH_EACH)
+        inside = member.join(few.select("token", "window", "major"), ["token", "window"])
+        side = lambda x, t: t.select("token", "window", *[F.col(c).alias(f"{x}_{c}") for c in ("n", "place", "root", "mark")], F.col("fp").alias(x))
+        pairs = side("a", inside.filter("root <> major")).join(side("b", inside).join(few.select("token", "window", "major"), ["token", "window"]), ["token", "window"])
+        once_each = (F.col("a_root") != F.col("b_root")) & ((F.col("b_root") == F.col("major")) | (F.col("a_root") < F.col("b_root")))
+        pairs = pairs.filter(once_each & (F.col("window") == size_class(F.least("a_n", "b_n"), percent)) & alike(percent) & (F.lit(begun) | first))
+        ends = [F.struct(F.col(x).alias("fp"), F.col(f"{x}_n").alias("n")) for x in "ab"]
+        pairs = pairs.select(F.least(*ends).alias("low"), F.greatest(*ends).alias("high")).groupBy("low", "high").agg(F.count("*").alias("met"))
+        pairs = pairs.select(F.col("low.fp").alias("a"), F.col("high.fp").alias("b"), F.col("low.n").alias("a_n"), F.col("high.n").alias("b_n"), "met")
+        further.append(stage(pairs.filter(F.lit(begun) | (F.col("met") >= enough)).drop("met")))
+        if many.isEmpty():
+            break
+        followers = stage(member.join(many.select("token", "window", "leader"), ["token", "window"]).filter(F.col("fp") != F.col("leader.fp")))
+        # The groups that the first n-grams of all make are put together by leader; later ones are divided alone, and get smaller.
+        group = F.col("token") if begun else F.col("leader.fp")
+        followers = followers.select(group.alias("group"), "window", F.col("fp").alias("a"), F.col("leader.fp").alias("b"), F.col("n").alias("a_n"), F.col("leader.n").alias("b_n"), "mark").distinct()
+        followers = stage(followers)
+        led = stage(followers.select("a", "b", "a_n", "b_n").distinct())
+        divided = apart(led, sets_of(led), fragments, percent)
+        links = stage(links.union(divided.filter("alike").select("a", "b")))
+        roots = components(links).select(F.col("node").alias("a"), "root")
+        met_again = followers.join(divided.select("a", "b", F.explode("first").alias("gram")), ["a", "b"]).join(roots, "a", "left")
+        member = stage(met_again.select(F.xxhash64("group", "gram").alias("token"), F.lit(0).alias("place"), F.col("a").alias("fp"), F.col("a_n").alias("n"),
+                                        F.coalesce("root", "a").alias("root"), "mark", "window"))
+        begun = True
+    further = stage(reduce(DataFrame.union, further).distinct())
     links = links if further.isEmpty() else links.union(checked(further))
 
     nodes = components(links).select(F.col("node").alias("fp"), "root")
