@@ -70,21 +70,21 @@ DECONTAMINATION = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS words FROM documents),
 b AS (SELECT min(item_id) AS item_id, words FROM (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS words FROM benchmark)
       WHERE len(words) > 0 GROUP BY words),
-i AS (SELECT item_id, words, len(words) AS size, CASE WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3), lambda k: array_to_string(words[k:k + 4], ' '))
+i AS (SELECT row_number() OVER () AS k, item_id, len(words) AS size, CASE WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3), lambda k: array_to_string(words[k:k + 4], ' '))
                                                     ELSE [array_to_string(words, ' ')] END AS wanted FROM b),
-ig AS (SELECT DISTINCT size, unnest(wanted) AS gram, unnest(range(len(wanted))) AS spot FROM i),
+ig AS (SELECT DISTINCT k, size, len(wanted) AS n, unnest(wanted) AS gram FROM i),
 dg AS (SELECT r, unnest(grams) AS gram, unnest(range(len(grams))) AS place FROM (
          SELECT r, CASE WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3), lambda k: array_to_string(words[k:k + 4], ' '))
                         WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END AS grams FROM d)),
-w AS (SELECT DISTINCT r, size, greatest(0, place - spot) AS start FROM dg JOIN ig USING (gram)),
-t AS (SELECT r, doc_id, size, start, words[start + 1:start + size] AS part FROM w JOIN d USING (r)),
+w AS (SELECT DISTINCT r, k, size, unnest(range(greatest(0, place - n + 1), place + 1)) AS start FROM dg JOIN ig USING (gram)),
+t AS (SELECT r, doc_id, size, start, words[start + 1:start + size] AS part FROM (SELECT DISTINCT r, size, start FROM w) JOIN d USING (r)),
 s AS (SELECT r, doc_id, size, start, CASE WHEN len(part) >= 5 THEN list_transform(range(1, len(part) - 3), lambda k: array_to_string(part[k:k + 4], ' '))
                                         ELSE [array_to_string(part, ' ')] END AS shingles FROM t),
-c AS (SELECT r, doc_id, item_id, size, start, len(shingles) + len(wanted) AS total,
+c AS (SELECT r, doc_id, k, item_id, size, start, len(shingles) + len(wanted) AS total,
              list_sum(list_transform(list_distinct(list_intersect(shingles, wanted)), lambda k: least(len(list_filter(shingles, lambda x: x = k)), len(list_filter(wanted, lambda x: x = k))))) AS common
-      FROM s JOIN i USING (size)),
+      FROM s JOIN w USING (r, size, start) JOIN i USING (k, size)),
 h AS (SELECT *, common / (total - common) AS similarity FROM c WHERE 100 * common >= 80 * (total - common)),
-best AS (SELECT *, row_number() OVER (PARTITION BY r, item_id ORDER BY similarity DESC, start) AS n FROM h)
+best AS (SELECT *, row_number() OVER (PARTITION BY r, k ORDER BY similarity DESC, start) AS n FROM h)
 SELECT doc_id, item_id, similarity, start, size AS n_words FROM best WHERE n = 1
 """
 
