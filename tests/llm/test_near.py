@@ -99,7 +99,7 @@ def template_texts(rng, copies, own, size=200):
 
 @pytest.mark.parametrize("n, percent", [(4, 85), (1, 80)])
 def test_larger_groups_are_divided_by_leaders(spark, monkeypatch, n, percent):
-    monkeypatch.setattr(ngram_join, "EACH_WITH_EACH", 10)
+    monkeypatch.setattr(ngram_join, "EACH_WITH_EACH", 20)
     rng = random.Random(n)
     texts = template_texts(rng, 40, 17) + template_texts(rng, 25, 30, 120)
     # Under one template: links that no leader shows, sets of other sizes, and a template within the template.

@@ -284,7 +284,8 @@ def linked(pairs: DataFrame, sets: DataFrame, fragments: int, percent: int) -> D
 def apart(led: DataFrame, sets: DataFrame, fragments: int, percent: int) -> DataFrame:
     """``led`` (a, b, a_n, b_n) with ``alike``, whether a is similar to its leader b, and ``first``: so many of the first
     n-grams of a that b lacks that sets similar to a, and no smaller than b, have one of them among their own, unless
-    both are similar to b. Of such a set and a, ``least`` n-grams are common, all but those of a and b outside b."""
+    both are similar to b.
+    ``least`` n-grams are common to a and such a set; b has no more of them than of a, so the others are among those it lacks."""
     parts = led.select("a", "b", "a_n", "b_n", F.explode(F.sequence(F.lit(0), F.lit(fragments - 1))).alias("fragment"))
     left = sets.select(F.col("fp").alias("a"), "fragment", F.col("grams").alias("a_grams"))
     right = sets.select(F.col("fp").alias("b"), "fragment", F.col("grams").alias("b_grams"))
