@@ -30,3 +30,12 @@ def customers(*names):
 def test_paged_contacts_of_all_customers(result):
     found = result("paged_contacts_distinct", customer=customers("Customer#000000001", "Customer#000099999", "Supplier#000000001"))
     assert found == [("A", "Customer#000000001"), ("A", "Customer#000099999")]
+
+
+MESSAGES = EVENTS, [(1, NOON, 1, "signup", 1.0, '{"k": 5}'), (2, NOON, 5, "signup", 1.0, '{"k": 5}'),
+                    (3, NOON, 9, "signup", 1.0, '{"k": 5}'), (4, NOON, 5, "signup", 200.0, '{"k": 5}')]
+
+
+def test_lookup_finds_every_contact_there_is(result):
+    found = result("left_lookup_dedup", customer=customers(*"abcde"), events=MESSAGES)
+    assert found == [(1, 1, "ACC_1", "1"), (2, 5, "ACC_5", "5"), (3, 9, None, None), (4, 5, "ACC_5", "5")]
