@@ -39,3 +39,8 @@ MESSAGES = EVENTS, [(1, NOON, 1, "signup", 1.0, '{"k": 5}'), (2, NOON, 5, "signu
 def test_lookup_finds_every_contact_there_is(result):
     found = result("left_lookup_dedup", customer=customers(*"abcde"), events=MESSAGES)
     assert found == [(1, 1, "ACC_1", "1"), (2, 5, "ACC_5", "5"), (3, 9, None, None), (4, 5, "ACC_5", "5")]
+
+
+def test_lookup_on_a_literal_finds_every_contact_there_is(result):
+    found = result("left_lookup_on_literal", customer=customers(*"abcde"), events=MESSAGES)
+    assert found == [(1, "email", "ACC_1"), (2, "email", "ACC_5"), (3, "email", None), (4, "Outbound_call", None)]
