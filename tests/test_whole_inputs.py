@@ -44,3 +44,9 @@ def test_lookup_finds_every_contact_there_is(result):
 def test_lookup_on_a_literal_finds_every_contact_there_is(result):
     found = result("left_lookup_on_literal", customer=customers(*"abcde"), events=MESSAGES)
     assert found == [(1, "email", "ACC_1"), (2, "email", "ACC_5"), (3, "email", None), (4, "Outbound_call", None)]
+
+
+def test_answers_to_any_message_exist(result):
+    sent = [(1, NOON, 7, "signup", 1.0, '{"k": 5}'), (2, NOON, 7, "signup", 1.0, '{"k": 45}')]  # the second has bounced
+    views = [(11, NOON, 7, "view", 1.0, '{"k": 1}'), (12, NOON, 7, "view", 1.0, '{"k": 1}'), (13, NOON, 8, "view", 1.0, '{"k": 1}')]
+    assert result("existence_semi", events=(EVENTS, sent + views)) == [(11, "view"), (12, "view")]
