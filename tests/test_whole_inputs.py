@@ -50,3 +50,10 @@ def test_answers_to_any_message_exist(result):
     sent = [(1, NOON, 7, "signup", 1.0, '{"k": 5}'), (2, NOON, 7, "signup", 1.0, '{"k": 45}')]  # the second has bounced
     views = [(11, NOON, 7, "view", 1.0, '{"k": 1}'), (12, NOON, 7, "view", 1.0, '{"k": 1}'), (13, NOON, 8, "view", 1.0, '{"k": 1}')]
     assert result("existence_semi", events=(EVENTS, sent + views)) == [(11, "view"), (12, "view")]
+
+
+def test_winback_list_is_all_customers(result):
+    recent, past = dt.datetime(2000, 7, 1), dt.datetime(1999, 7, 1)
+    orders = [(1, 8, "O", 1.0, recent, "P"), (2, 9, "O", 1.0, past, "P"), (3, 1, "O", 1.0, recent, "P")]
+    found = result("base_audience_with_winback", customer=customers("a", "b"), orders=(ORDERS, orders))
+    assert found == [(f"ACC_{i}", "XX", "FIXED") for i in (1, 2, 8)]
