@@ -57,3 +57,8 @@ def test_winback_list_is_all_customers(result):
     orders = [(1, 8, "O", 1.0, recent, "P"), (2, 9, "O", 1.0, past, "P"), (3, 1, "O", 1.0, recent, "P")]
     found = result("base_audience_with_winback", customer=customers("a", "b"), orders=(ORDERS, orders))
     assert found == [(f"ACC_{i}", "XX", "FIXED") for i in (1, 2, 8)]
+
+
+def test_contact_ids_of_all_customers(result):
+    found = result("contact_ids", customer=customers("Customer#000000001", "Customer#000099999", "Supplier#000000001"))
+    assert [r[:2] for r in found] == [(1, "Customer#000000001"), (2, "Customer#000099999")]
