@@ -127,3 +127,26 @@ def test_small_checks_the_size(frame):
     df = frame("k int", (1,), (2,), (3,))
     assert small(df, 2) is df
     assert "broadcast" in small(df, 3)._jdf.queryExecution().toString().lower()
+
+
+def rows_by_task(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_rows_that_fail_the_predicate_stay_spread(spark, frame):
+    left, right = spark.range(4_000).selectExpr("id", "id % 500 as k"), frame("k long, v int", (1, 1), (2, 2))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = spread_join(left, right, ["k"], only_when=F.col("id") % 10 == 1)
+        assert max(rows_by_task(found)) < 1_500 and found.count() == 4_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_partitions_grow_with_the_rows(spark, frame):
+    left, right = spark.range(4_000).selectExpr("id", "id % 500 as k"), frame("k long, v int", (1, 1), (2, 2))
+    found = spread_join(left, right, ["k"], min_rows=1_000, task_rows=100)
+    assert len(rows_by_task(found)) > 20 and max(rows_by_task(found)) < 400
+    assert rows_of(found) == rows_of(left.join(right, ["k"], "left").select("id", "k", "v"))

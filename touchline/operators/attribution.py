@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.columns import long_of
 from touchline.functions.dates import ms_to_text, within_days
-from touchline.operators.joins import spread_join
+from touchline.operators.joins import TASK_ROWS, spread_join
 from touchline.operators.status import WINDOW_DAYS
 from touchline.schemas import CHANNEL_WEIGHTS
 
@@ -109,7 +109,7 @@ def attribute_conversions(
     converted = F.coalesce("conv_flg", F.lit(False))
     best = best_channels(history, weights) if best is None else best
     found = conversions.select("account_id", *[F.col(c).alias(f"_{c}") for c in CONVERSION_COLUMNS])
-    joined = spread_join(history, [best, found], ["account_id"], only_when=~converted, right_repeats=True)
+    joined = spread_join(history, [best, found], ["account_id"], only_when=~converted, right_repeats=True, task_rows=TASK_ROWS)
     taken = {
         c: F.when(converted, F.col(c)).otherwise(F.col(f"_{c}").cast(history.schema[c].dataType))
         for c in CONVERSION_COLUMNS

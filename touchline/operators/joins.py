@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from touchline.functions.columns import quoted
 HOT_PARTITIONS = 3       # a key is hot that alone fills so many shuffle partitions of mean size
 MOST_HOT = 6_667         # at most so many keys are looked for, which the size of the sketch allows
 HOT_ROWS = 1_000_000     # smaller groups are never worth splitting
+TASK_ROWS = 250_000      # a left side of more than HOT_ROWS rows is cut so that a task gets about so many at most
 BROADCAST_ROWS = 50_000  # most rows a side may have to be broadcast by hint
 BROADCAST_BYTES = 16 << 20  # and most bytes, as text
 WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -45,14 +48,21 @@ def hot_share(spark: SparkSession) -> float:
     return max(min(HOT_PARTITIONS / parts, 1 / 2), 1 / MOST_HOT)
 
 
+class Hot(dict[int, float]):
+    """Hashes of hot keys with their shares; ``rows`` is the number of all rows, 0 if it is small or not known."""
+
+    rows = 0
+
+
 def hot_keys(
     df: DataFrame, keys: Sequence[str], share: float | None = None, min_rows: int = HOT_ROWS
-) -> dict[int, float]:
+) -> Hot:
     """Hashes of the keys that hold more than ``share`` of the rows, each with its share; see :func:`hot_share`.
 
     A sketch of the most frequent keys per scan task, merged by a few tasks: one pass over the key columns and no
     shuffle of them. Counts may be a little off; they only decide how rows are spread. No more than ``1/share``
-    keys qualify, so what reaches the driver is bounded whatever the data.
+    keys qualify, so what reaches the driver is bounded whatever the data. The result's ``rows`` is the number of
+    all rows, if it is ``min_rows`` or more.
     """
     share = share or hot_share(df.sparkSession)
     most = math.ceil(1 / share)
@@ -67,7 +77,9 @@ def hot_keys(
     top = {row["item"]: row["rows"] for row in
            counts.where(F.col("rows") >= min_rows).orderBy(F.desc("rows")).limit(most + 1).collect()}
     total = top.pop(None, 0)
-    return {key: rows / total for key, rows in top.items() if rows > total * share}
+    found = Hot({key: rows / total for key, rows in top.items() if rows > total * share})
+    found.rows = total
+    return found
 
 
 def spread_join(
@@ -82,6 +94,7 @@ def spread_join(
     right_repeats: bool = False,
     share: float | None = None,
     min_rows: int = HOT_ROWS,
+    task_rows: int | None = None,
 ) -> DataFrame:
     """Equi-join on the columns ``on`` (present on both sides), with hot keys split; the result is that of a join.
 
@@ -98,6 +111,9 @@ def spread_join(
     only be hot if each of its parts is. ``right_repeats`` says the (last) right side may hold many rows per key
     and is to be looked at too. ``hot`` and ``hot_right`` give the hot values of a side if the caller has them;
     they decide how rows are dealt, never which rows come out.
+
+    With ``task_rows`` a left side of ``min_rows`` rows or more, as counted with its hot keys, is cut into as many
+    partitions as leave a task about so many rows, so that what a task holds does not grow with the table.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
@@ -119,12 +135,16 @@ def spread_join(
         hot_right = hot_keys(rights[-1].dropna(subset=by), by, share, min_rows)
 
     if not hot_left and not hot_right:
-        keyed, keys = left, on
-        if only_when is not None:
-            keyed, keys = left.withColumns({j: F.when(gate, quoted(k)) for j, k in zip(joins, on)}), joins
-        for r in rights:
-            keyed = keyed.join(r.withColumnsRenamed(dict(zip(on, keys))), keys, how)
-        return keyed.select(*kept)
+        # The predicate is part of the condition, not of the key: rows that fail it stay where their keys put them.
+        keyed = left if only_when is None else left.withColumn("_gate", gate)
+        if task_rows and (rows := getattr(hot_left, "rows", 0)):
+            parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            keyed = keyed.repartition(max(parts, math.ceil(rows / task_rows)), *map(quoted, on))
+        for i, r in enumerate(rights):
+            keys = [f"_on{i}_{k}" for k in on]
+            same = [quoted(k) == quoted(j) for k, j in zip(on, keys)] + [F.col("_gate")] * (only_when is not None)
+            keyed = keyed.join(r.withColumnsRenamed(dict(zip(on, keys))), reduce(and_, same), how)
+        return keyed.select(*map(quoted, kept))
 
     if hot_right and len(rights) > 1:
         first = spread_join(left, rights[:-1], on, how, only_when, by, hot_left, {}, False, share, min_rows)
