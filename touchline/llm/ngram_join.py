@@ -44,8 +44,9 @@ SLICES = 64
 #: Bits of the table that tells which sets are wanted: 2 ** WANTED_BITS, whatever their number.
 WANTED_BITS = 26
 MARK_BITS = 256
-#: Up to so many sets that meet are compared each with each; larger groups are divided by leaders. Results do not depend on it.
-EACH_WITH_EACH = 100
+#: Up to so many sets that meet are compared each with each, by their marks; a row is compared with no more. Larger groups
+#: are divided by leaders, where a round costs as much as many such comparisons. Results do not depend on it.
+EACH_WITH_EACH = 1_000
 LIST = "token long, place int, fp long, n int"
 
 
@@ -350,7 +351,7 @@ def groups(docs: DataFrame, n: int, percent: int, fragments: int = 4) -> DataFra
     member = stage(rest.select("token", "place", "fp", "n", "root", "mark", F.explode(F.array("class", F.col("class") - 1)).alias("window")))
     common = F.ceil(percent * (F.col("a_n") + F.col("b_n")) / (100 + percent))
     first = (F.col("a_place") < F.col("a_n") - common + enough) & (F.col("b_place") < F.col("b_n") - common + enough)
-    further, begun = [], False
+    further, begun, divided_sets = [], False, None
     while True:
         by_root = member.groupBy("token", "window", "root").agg(F.count("*").alias("sets"), F.min(F.struct("n", "fp")).alias("least"))
         sizes = by_root.groupBy("token", "window").agg(F.sum("sets").alias("sets"), F.max(F.struct("sets", "root")).alias("major"), F.min("least").alias("leader"))
@@ -373,12 +374,15 @@ def groups(docs: DataFrame, n: int, percent: int, fragments: int = 4) -> DataFra
         followers = followers.select(group.alias("group"), "window", F.col("fp").alias("a"), F.col("leader.fp").alias("b"), F.col("n").alias("a_n"), F.col("leader.n").alias("b_n"), "mark").distinct()
         followers = stage(followers)
         led = stage(followers.select("a", "b", "a_n", "b_n").distinct())
-        divided = apart(led, sets_of(led), fragments, percent)
+        # Later groups are parts of the first ones, so their sets are there already.
+        divided_sets = divided_sets if begun else sets_of(led)
+        divided = apart(led, divided_sets, fragments, percent)
         links = stage(links.union(divided.filter("alike").select("a", "b")))
         roots = components(links).select(F.col("node").alias("a"), "root")
-        met_again = followers.join(divided.select("a", "b", F.explode("first").alias("gram")), ["a", "b"]).join(roots, "a", "left")
+        rooted = stage(divided.select("a", "b", "first").join(roots, "a", "left").withColumn("root", F.coalesce("root", "a")))
+        met_again = followers.join(rooted, ["a", "b"]).withColumn("gram", F.explode("first"))
         member = stage(met_again.select(F.xxhash64("group", "gram").alias("token"), F.lit(0).alias("place"), F.col("a").alias("fp"), F.col("a_n").alias("n"),
-                                        F.coalesce("root", "a").alias("root"), "mark", "window"))
+                                        "root", "mark", "window"))
         begun = True
     further = stage(reduce(DataFrame.union, further).distinct())
     links = links if further.isEmpty() else links.union(checked(further))
