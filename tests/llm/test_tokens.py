@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SMALL
 from touchline.llm import packing, token_files
 from touchline.llm.queries import QUERIES
-from touchline.llm.tokens import Encoder, read_spec
+from touchline.llm.tokens import Encoder, packed, read_spec
 
 BYTE, WORD = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -148,3 +148,10 @@ def test_patterns_are_those_of_placing_one_by_one():
             open_packs = [p for p in packs if sum(p) + length <= 16]
             (min(open_packs, key=sum) if open_packs else packs.append([]) or packs[-1]).append(length)
     assert sum(k for _, k in packing.place(histogram, 16)) == len(packs)
+
+
+def test_plain_words_go_to_the_model_alone(ids_of):
+    encoder = Encoder(read_spec(public_tokenizers.path(WORD)))
+    encoder.words.tokenizer = None
+    text = "It's plain: they'll SAY 1,234 things!? (a_b) <|endoftext|> re's \t\nunbelievableness x"
+    assert encoder.encode(text) == packed(ids_of(WORD)(text))
