@@ -155,3 +155,20 @@ def test_plain_words_go_to_the_model_alone(ids_of):
     encoder.words.tokenizer = None
     text = "It's plain: they'll SAY 1,234 things!? (a_b) <|endoftext|> re's \t\nunbelievableness x"
     assert encoder.encode(text) == packed(ids_of(WORD)(text))
+
+
+def test_words_of_byte_level_bpe_go_to_the_model_alone(ids_of):
+    encoder = Encoder(read_spec(public_tokenizers.path(BYTE)))
+    encoder.words.tokenizer = None
+    text = "It's plain: Ünïcode ß, they'll\tSAY ½ of 1,234 – things!?  \r\n <|endoftext|>\xa0re's €\xad unbelievableness x \n"
+    assert encoder.cuts(text) and encoder.encode(text) == packed(ids_of(BYTE)(text))
+
+
+def test_words_go_through_the_tokenizer_if_it_has_tokens_of_its_own():
+    import json
+
+    from tokenizers import Tokenizer
+    spec = json.loads(read_spec(public_tokenizers.path(BYTE)))
+    spec["added_tokens"].append({**spec["added_tokens"][0], "id": 50257, "content": "zebra", "special": False})
+    own = json.dumps(spec)
+    assert Encoder(own).encode("zebra") == packed(Tokenizer.from_str(own).encode("zebra", add_special_tokens=False).ids) == packed([50257])

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.tokens import Encoder, packed
+from touchline.llm.tokens import Encoder, byte_alphabet, packed
 from touchline.llm.workers import by_bytes, held
 from touchline.session import stage
 
@@ -38,13 +38,6 @@ _SEGMENT = re.compile(" +[^ ]*")
 PAIRS = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<long>"
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The published alphabet of byte-level BPE: printable bytes stand for themselves, the rest for 256 and up."""
-    same = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in set(same)]
-    return {chr(b): b for b in same} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 class Side:
     """A tokenizer with the bytes of its ids, which are packed as little-endian unsigned 32-bit integers."""
 
